@@ -13,14 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from iterweave.operators.skew import HOT_KEY_ROWS, SLICE, hot_keys, replicate, spread
+from iterweave.operators.skew import SLICE, hot_keys, replicate, spread
 from iterweave.workspace import Workspace
 
-# Below this size re-shuffling the edges in a round costs less than bucketing them.
-COLOCATE_ROWS = 50_000_000
-BUCKET_ROWS = 16_000_000
-MAX_BUCKETS = 50_000
-
 
 @dataclass(frozen=True)
 class Adjacency:
@@ -30,25 +25,19 @@ class Adjacency:
     hot: DataFrame | None
 
     @staticmethod
-    def build(
-        ws: Workspace,
-        edges: DataFrame,
-        source: str,
-        hot_rows: int = HOT_KEY_ROWS,
-        colocate_rows: int = COLOCATE_ROWS,
-        bucket_rows: int = BUCKET_ROWS,
-    ) -> Adjacency:
+    def build(ws: Workspace, edges: DataFrame, source: str) -> Adjacency:
+        limits = ws.tuning
         staged = ws.materialize(edges, "edges")
         table, hot, keys = staged.df, None, [source]
-        if staged.rows > hot_rows:
-            listed = ws.materialize(hot_keys(staged.df, keys, hot_rows), "hot")
+        if staged.rows > limits.hot_key_rows:
+            listed = ws.materialize(hot_keys(staged.df, keys, limits.hot_key_rows, limits.max_hot_keys), "hot")
             if listed.rows:
                 hot = listed.df
                 others = [F.col(c) for c in edges.columns if c != source]
                 table = spread(staged.df, hot, keys, others)
                 keys = [source, SLICE]
-        if staged.rows > colocate_rows:
-            buckets = min(MAX_BUCKETS, -(-staged.rows // bucket_rows))
+        if staged.rows > limits.colocate_rows:
+            buckets = min(limits.max_buckets, -(-staged.rows // limits.bucket_rows))
             table = ws.materialize_bucketed(table, "adjacency", buckets, keys).df
         elif hot is not None:
             table = ws.materialize(table, "adjacency").df

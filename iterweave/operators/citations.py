@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from iterweave.functions.expressions import greater, pick_max, pick_min
 from iterweave.operators.skew import pair_join
 from iterweave.sources.graph import drop_self_edges
+from iterweave.tuning import DEFAULT
 
 
 def temporal_citations(citations: DataFrame, papers: DataFrame) -> DataFrame:
@@ -74,14 +75,17 @@ def new_pairs(found: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def common_ancestors(
-    reach: DataFrame, papers: DataFrame, max_seeds: int | None = None
+    reach: DataFrame,
+    papers: DataFrame,
+    max_seeds: int | None = None,
+    block_rows: int = DEFAULT.pair_block_rows,
 ) -> DataFrame:
     """(p1, p2, ca, year, d1, d2) for every ancestor shared by two seeds, p1 < p2."""
     a = reach.select("vertex", F.col("seed").alias("p1"), F.col("d").alias("d1"))
     b = reach.select("vertex", F.col("seed").alias("p2"), F.col("d").alias("d2"))
     year = papers.select(F.col("id").alias("ca"), "year")
     return (
-        pair_join(a, b, "vertex", "p2", max_seeds)
+        pair_join(a, b, "vertex", "p2", max_seeds, block_rows)
         .filter(F.col("p1") < F.col("p2"))
         .withColumnRenamed("vertex", "ca")
         .join(year, "ca")
@@ -95,13 +99,16 @@ def pair_depth(common: DataFrame) -> DataFrame:
 
 
 def oriented_meetings(
-    delta: DataFrame, reach: DataFrame, max_seeds: int | None = None
+    delta: DataFrame,
+    reach: DataFrame,
+    max_seeds: int | None = None,
+    block_rows: int = DEFAULT.pair_block_rows,
 ) -> DataFrame:
     """Meetings of newly reached rows with all reached rows of other seeds, with the
     pair put in id order: (p1, p2, ca, d1, d2), each once."""
     r1 = delta.select("vertex", F.col("seed").alias("s1"), F.col("d").alias("e1"))
     r2 = reach.select("vertex", F.col("seed").alias("s2"), F.col("d").alias("e2"))
-    met = pair_join(r1, r2, "vertex", "s2", max_seeds).filter(F.col("s1") != F.col("s2"))
+    met = pair_join(r1, r2, "vertex", "s2", max_seeds, block_rows).filter(F.col("s1") != F.col("s2"))
     s1, s2, e1, e2 = (F.col(c) for c in ("s1", "s2", "e1", "e2"))
     return met.select(
         pick_min(s1, s2, s1, s2).alias("p1"),

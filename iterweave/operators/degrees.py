@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from iterweave.operators.skew import hot_keys, replicate, spread
+from iterweave.operators.skew import SLICE, hot_keys, replicate, spread
+from iterweave.tuning import DEFAULT
 
 
 def vertex_degree(network: DataFrame) -> DataFrame:
@@ -19,16 +20,18 @@ def vertex_degree_in_out(follows: DataFrame) -> DataFrame:
     return vertex_degree(ends)
 
 
-def degree_filter(network: DataFrame, k: int) -> DataFrame:
+def degree_filter(
+    network: DataFrame, k: int, hot_key_rows: int = DEFAULT.hot_key_rows
+) -> DataFrame:
     """Edges whose source has degree >= k, decided once on the whole list.
 
     Only the source side is tested, so survivors keep their degree and a second pass
     would change nothing.  This is not the k-core: see ``plans.cores``.
     """
     kept = vertex_degree(network).filter(F.col("degree") >= k).select("u")
-    hot = hot_keys(network, ["u"])
+    hot = hot_keys(network, ["u"], hot_key_rows)
     sliced = spread(network, hot, ["u"], [F.col("v")])
-    return sliced.join(replicate(kept, hot, ["u"]), ["u", "slice"], "left_semi").select("u", "v")
+    return sliced.join(replicate(kept, hot, ["u"]), ["u", SLICE], "left_semi").select("u", "v")
 
 
 def graph_size(network: DataFrame) -> DataFrame:

@@ -14,21 +14,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from iterweave.tuning import DEFAULT
+
 SLICE = "slice"
 SLICES = "slices"
 
-# A key above this many rows is cut into slices of about this many rows.
-HOT_KEY_ROWS = 1_000_000
-# Only the heaviest keys are listed, so the list always fits a broadcast.  A key that
-# misses the list holds at most 1/MAX_HOT_KEYS of all rows.
-MAX_HOT_KEYS = 10_000
-
 
 def hot_keys(
     df: DataFrame,
     keys: Sequence[str],
-    rows_per_slice: int = HOT_KEY_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
+    rows_per_slice: int = DEFAULT.hot_key_rows,
+    max_keys: int = DEFAULT.max_hot_keys,
 ) -> DataFrame:
     """(keys, slices) for the heaviest keys: at most ``max_keys`` rows."""
     n = F.col("n")
@@ -62,17 +58,13 @@ def replicate(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-# A self-join key with more rows than this is cut into blocks of about this many rows.
-PAIR_BLOCK_ROWS = 2_000
-
-
 def pair_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
     spread_by: str,
     max_rows_per_key: int | None = None,
-    block_rows: int = PAIR_BLOCK_ROWS,
+    block_rows: int = DEFAULT.pair_block_rows,
 ) -> DataFrame:
     """Join two sides that may both hold many rows per key.
 

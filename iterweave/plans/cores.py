@@ -14,9 +14,6 @@ from iterweave.operators.adjacency import Adjacency
 from iterweave.plans.fixpoint import replace_until
 from iterweave.workspace import Stored, Workspace
 
-# Rebuild the edge table once the live part has shrunk to this share of it.
-COMPACT_BELOW = 0.5
-
 
 def kcore_vertices(ws: Workspace, network: DataFrame, k: int) -> DataFrame:
     """(v, degree): vertices of the maximal subgraph with all degrees >= k."""
@@ -82,7 +79,7 @@ def _peel(ws: Workspace, weighted: DataFrame, k: int) -> tuple[Stored, Adjacency
         left = kept.join(lost, "vertex", "left").select(
             "vertex", (degree - F.coalesce("lost", F.lit(0).cast("long"))).alias("degree")
         )
-        if state.metrics["live"] < COMPACT_BELOW * adjacency.rows:
+        if state.metrics["live"] < ws.tuning.compact_below * adjacency.rows:
             # This round's messages are planned on the old table already.
             adjacency = Adjacency.build(ws, _induced(kept, adjacency), "src")
         return left

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from iterweave.tuning import DEFAULT, Tuning
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -51,8 +53,11 @@ class Workspace:
     have been consumed; ``close()`` (or leaving the ``with`` block) deletes it.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(
+        self, spark: SparkSession, root: str | None = None, tuning: Tuning = DEFAULT
+    ):
         self.spark = spark
+        self.tuning = tuning
         self.root = f"{(root or shared_folder(spark)).rstrip('/')}/iterweave-{uuid.uuid4().hex}"
         self._tables: list[str] = []
 
@@ -147,8 +152,8 @@ class RoundLog:
 
     def read(self, first: int, last: int | None = None) -> DataFrame:
         last = first if last is None else last
-        reader = self._ws.spark.read.schema(self.schema)
         if first > last:
             return self._ws.spark.createDataFrame([], self.schema)
+        reader = self._ws.spark.read.schema(self.schema)
         paths = [f"{self._path}/{self.ROUND}={n}" for n in range(first, last + 1)]
         return reader.option("basePath", self._path).parquet(*paths)

@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from iterweave.functions.expressions import greater, one_hop_further, pick_max, pick_min
+from iterweave.operators import citations as cite
+from iterweave.operators import fits
+from iterweave.operators.adjacency import Adjacency
+from iterweave.operators.skew import hot_keys, pair_join
+from iterweave.plans import reach
+from iterweave.workspace import Workspace, shared_folder
+from tests.conftest import LARGE, rows
+
+LINK = "p1 long, p2 long"
+
+
+def test_expressions(table):
+    df = table([(1, 2, 10, 20), (2, 1, 10, 20), (3, 3, 10, None)], "a long, b long, x long, y long")
+    a, b, x, y = (F.col(c) for c in "abxy")
+    got = df.select(pick_min(a, b, x, y), pick_max(a, b, x, y), greater(x, y), one_hop_further(y))
+    assert [tuple(r) for r in got.collect()] == [
+        (10, 20, 20, 21),
+        (20, 10, 20, 21),
+        (None, None, None, None),
+    ]
+
+
+def test_hot_keys_are_bounded_and_sliced(table):
+    df = table([(k, i) for k, n in ((1, 10), (2, 7), (3, 4), (4, 1)) for i in range(n)], LINK)
+    assert rows(hot_keys(df, ["p1"], 3)) == [(1, 4), (2, 3), (3, 2)]
+    assert rows(hot_keys(df, ["p1"], 3, max_keys=1)) == [(1, 4)]
+
+
+@pytest.mark.parametrize("block", [1, 3, 1000])
+def test_pair_join_equals_the_plain_join(table, block):
+    data = [(k, i) for k, n in ((1, 9), (2, 4), (3, 1)) for i in range(n)]
+    left, right = table(data, "k long, a long"), table(data, "k long, b long")
+    expected = rows(left.join(right, "k"), "k", "a", "b")
+    assert rows(pair_join(left, right, "k", "b", block_rows=block), "k", "a", "b") == expected
+    assert rows(pair_join(left, right, "k", "b", 9, block), "k", "a", "b") == expected
+
+
+def test_large_adjacency_is_not_shuffled_again(spark, table):
+    """Bucketed on (source, slice): only the frontier moves, and the hub is cut up."""
+    edges = table([(0, i) for i in range(30)] + [(i, 0) for i in range(1, 15)], "src long, dst long")
+    frontier = table([(100, 0), (100, 3), (200, 0)], "seed long, vertex long")
+    with Workspace(spark, tuning=LARGE) as ws:
+        adjacency = Adjacency.build(ws, edges, "src")
+        out = adjacency.out_of(frontier, "vertex")
+        assert rows(out, "seed", "dst") == sorted(
+            [(100, i) for i in range(30)] + [(200, i) for i in range(30)] + [(100, 0)]
+        )
+        per_slice = adjacency.edges.filter("src = 0").groupBy("slice").count().collect()
+        assert len(per_slice) > 5
+        merged = adjacency.out_of(frontier, "vertex")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            plan = merged._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert "Bucketed: true" in plan
+        assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_relational_steps(table):
+    links = table([(1, 3), (3, 4), (2, 4), (4, 5), (1, 4)], LINK)
+    seeds = table([(1,), (2,)], "id long")
+    near = cite.seed_neighbors(links, seeds)
+    assert rows(near) == [(1, 3, 1), (1, 4, 1), (2, 4, 1)]
+    two = cite.two_hop_distinct(links, seeds)
+    assert rows(two) == [(1, 4), (1, 5), (2, 5)]
+    assert rows(cite.new_pairs(two, near)) == [(1, 5), (2, 5)]
+    assert rows(reach.relax_one_hop(near, links)) == [
+        (1, 3, 1),
+        (1, 4, 1),
+        (1, 5, 2),
+        (2, 4, 1),
+        (2, 5, 2),
+    ]
+
+
+def test_common_ancestors_and_depth(any_ws, table):
+    links = table([(1, 3), (3, 4), (2, 4), (4, 5)], LINK)
+    papers = table([(i, 1990 + i) for i in range(1, 6)], "id long, year long")
+    found = reach.min_hops(any_ws, links, table([(1,), (2,)], "id long"))
+    common = cite.common_ancestors(found, papers, block_rows=1)
+    assert rows(common) == [(1, 2, 4, 1994, 2, 1), (1, 2, 5, 1995, 3, 2)]
+    assert rows(cite.pair_depth(common)) == [(1, 2, 4, 2), (1, 2, 5, 3)]
+    met = cite.oriented_meetings(found.filter("d = 2"), found.filter("d <= 2"))
+    assert rows(met) == [(1, 2, 4, 2, 1)]
+    assert rows(reach.reachable_by_depth(found)) == [(1, 2), (2, 2), (3, 1)]
+    assert rows(reach.distance_vectors(found)) == [
+        (3, 1, "1:1"),
+        (4, 2, "1:2,2:1"),
+        (5, 2, "1:3,2:2"),
+    ]
+
+
+def test_timing_lines(table):
+    text = ["real\t2m3.5s", "user\t1m0s", "real 0m0.25s", "real\t1m..s", "x real\t1m1s", "real 1ms"]
+    lines = table([(i, s) for i, s in enumerate(text)], "run_id long, line string")
+    assert rows(fits.timing_lines(lines)) == [(0, 123.5), (2, 0.25)]
+
+
+def test_fits_recover_the_curve(table):
+    data = [(float(x), 600.0 / x + 30.0, 3.0 * x * x + 7.0) for x in (1, 2, 4, 8, 16)]
+    df = table(data, "x double, inv double, quad double")
+    assert rows(fits.fit_inverse(df, "x", F.col("inv"))) == [(600.0, 30.0)]
+    assert rows(fits.fit_inverse(df, "x", fits.seconds_to_minutes(F.col("inv")))) == [(10.0, 0.5)]
+    assert rows(fits.fit_quadratic(df, "x", F.col("quad"))) == [(3.0, 7.0)]
+
+
+def test_workspace_uses_the_named_folder_and_cleans_up(spark, table):
+    import os
+
+    with Workspace(spark) as ws:
+        assert ws.root.startswith(shared_folder(spark))
+        stored = ws.materialize(table([(1, 2)], LINK), "t", top=F.max("p2"))
+        assert (stored.rows, stored.metrics["top"]) == (1, 2)
+        assert os.path.isdir(ws.root)
+    assert not os.path.exists(ws.root)
