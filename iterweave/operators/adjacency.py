@@ -23,6 +23,7 @@ class Adjacency:
     source: str
     rows: int
     hot: DataFrame | None
+    broadcast_rows: int
 
     @staticmethod
     def build(ws: Workspace, edges: DataFrame, source: str) -> Adjacency:
@@ -41,11 +42,19 @@ class Adjacency:
             table = ws.materialize_bucketed(table, "adjacency", buckets, keys).df
         elif hot is not None:
             table = ws.materialize(table, "adjacency").df
-        return Adjacency(table, source, staged.rows, hot)
+        return Adjacency(table, source, staged.rows, hot, limits.broadcast_rows)
 
-    def out_of(self, frontier: DataFrame, vertex: str) -> DataFrame:
-        """Every edge leaving a frontier vertex, with the frontier's other columns."""
+    def out_of(self, frontier: DataFrame, vertex: str, rows: int | None = None) -> DataFrame:
+        """Every edge leaving a frontier vertex, with the frontier's other columns.
+
+        ``rows`` is the counted size of the frontier, or a bound on it, if the caller has
+        one: a short frontier is then broadcast and the edges are scanned in place.  A
+        broadcast also needs no slices, since no task receives a whole hub.
+        """
         keyed = frontier.withColumnRenamed(vertex, self.source)
+        if rows is not None and rows <= min(self.broadcast_rows, self.rows // 2):
+            edges = self.edges if self.hot is None else self.edges.drop(SLICE)
+            return F.broadcast(keyed).join(edges, self.source)
         if self.hot is None:
             return keyed.join(self.edges, self.source)
         sliced = replicate(keyed, self.hot, [self.source])

@@ -71,7 +71,9 @@ def _peel(ws: Workspace, weighted: DataFrame, k: int) -> tuple[Stored, Adjacency
         nonlocal adjacency
         kept = state.df.filter(~low)
         lost = (
-            adjacency.out_of(state.df.filter(low).select("vertex"), "vertex")
+            adjacency.out_of(
+                state.df.filter(low).select("vertex"), "vertex", state.metrics["low"]
+            )
             .groupBy("dst")
             .agg(F.sum("w").alias("lost"))
             .withColumnRenamed("dst", "vertex")
@@ -108,48 +110,93 @@ def core_numbers(ws: Workspace, network: DataFrame) -> DataFrame:
 
     Peeling k = 1, 2, 3, ... needs a chain of rounds per k.  Instead every vertex starts
     from its degree and repeatedly takes the largest h such that at least h neighbours
-    claim h or more; claims only fall and settle on the core numbers, for all k at once,
-    in a number of rounds that hardly depends on how deep the cores are.
+    claim h or more; claims only fall and settle on the core numbers, for all k at once.
     """
-    return _core_numbers(ws, network)[0].df.toDF("v", "core")
+    claims, _ = _core_numbers(ws, network)
+    return claims.df.select(F.col("vertex").alias("v"), "core")
 
 
 def _core_numbers(ws: Workspace, network: DataFrame) -> tuple[Stored, Adjacency]:
+    """State (vertex, core, was): the claims of this round and of the one before."""
     edges = network.select(F.col("u").alias("src"), F.col("v").alias("dst"))
     adjacency = Adjacency.build(ws, edges, "src")
-    start = (
-        adjacency.edges.groupBy("src")
-        .agg(F.count(F.lit(1)).alias("core"))
-        .withColumnRenamed("src", "vertex")
-    )
-    # A hub may have any number of neighbours, but they are counted per claimed value
-    # before the shuffle, and E edges allow at most sqrt(2E) different degrees.
-    strongest_first = (
-        W.partitionBy("dst").orderBy(F.desc("core")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    core, was = F.col("core"), F.col("was")
+    start = adjacency.edges.groupBy(F.col("src").alias("vertex")).agg(
+        F.count(F.lit(1)).alias("core")
     )
 
-    def lower_claims(state: Stored, _: int) -> DataFrame:
-        return (
-            adjacency.out_of(state.df, "vertex")
-            .groupBy("dst", "core")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("support", F.sum("n").over(strongest_first))
-            .groupBy("dst")
-            .agg(F.max(F.least("core", "support")).alias("core"))
-            .withColumnRenamed("dst", "vertex")
-        )
+    def lower_claims(state: Stored, number: int) -> DataFrame:
+        fell = state.metrics["fell"]
+        if number == 1 or fell > ws.tuning.recount_all_above * state.rows:
+            near = adjacency.out_of(state.df, "vertex").select(F.col("dst").alias("vertex"), "core")
+        else:
+            near = _claims_around(ws, state.df, fell, adjacency)
+        old = state.df.select("vertex", core.alias("was"))
+        new = old.join(_supported_claim(near), "vertex", "left")
+        return new.select("vertex", F.coalesce("claim", "was").alias("core"), "was")
 
     final = replace_until(
         ws,
-        start,
+        start.withColumn("was", core),
         lower_claims,
-        lambda before, now: before is not None and before.metrics["claims"] == now.metrics["claims"],
+        lambda before, now: before is not None and not now.metrics["fell"],
         name="claims",
-        claims=F.coalesce(F.sum("core"), F.lit(0)),
+        fell=F.count_if(core < was),
     )
     return final, adjacency
 
 
+def _claims_around(
+    ws: Workspace, state: DataFrame, fell: int, adjacency: Adjacency
+) -> DataFrame:
+    """(vertex, core of a neighbour) for the vertices whose own claim may have to fall.
+
+    A neighbour's fall from ``was`` to ``core`` only hurts claims in between: higher ones
+    never counted it, lower ones still do.
+    """
+    dropped = state.filter("core < was").select(
+        "vertex", F.col("core").alias("low"), F.col("was").alias("high")
+    )
+    hit = adjacency.out_of(dropped, "vertex", fell).select(
+        F.col("dst").alias("vertex"), "low", "high"
+    )
+    claim = state.select("vertex", "core")
+    affected = (
+        hit.join(claim, "vertex").filter("low < core and core <= high").select("vertex").distinct()
+    )
+    rows = None
+    if adjacency.rows > ws.tuning.large_known_rows:
+        # Worth a count: if they are few, the edges are scanned in place.
+        counted = ws.materialize(affected, "affected")
+        affected, rows = counted.df, counted.rows
+    return (
+        adjacency.out_of(affected, "vertex", rows)
+        .select(F.col("src").alias("of"), F.col("dst").alias("vertex"))
+        .join(claim, "vertex")
+        .select(F.col("of").alias("vertex"), "core")
+    )
+
+
+def _supported_claim(near: DataFrame) -> DataFrame:
+    """(vertex, claim): the largest h with at least h neighbour claims of h or more.
+
+    A hub may have any number of neighbours, but they are counted per claimed value
+    before the shuffle, and E edges allow at most sqrt(2E) different degrees.
+    """
+    strongest_first = (
+        W.partitionBy("vertex")
+        .orderBy(F.desc("core"))
+        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
+    return (
+        near.groupBy("vertex", "core")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("support", F.sum("n").over(strongest_first))
+        .groupBy("vertex")
+        .agg(F.max(F.least("core", "support")).alias("claim"))
+    )
+
+
 def core_sizes(
     ws: Workspace, network: DataFrame, kmin: int = 1, kmax: int | None = None
 ) -> DataFrame:
@@ -159,7 +206,7 @@ def core_sizes(
     ends: two counts per core number, summed from the deepest core outwards.
     """
     claims, adjacency = _core_numbers(ws, network)
-    core = claims.df
+    core = claims.df.select("vertex", "core")
     vertices = core.groupBy("core").agg(F.count(F.lit(1)).alias("v"))
     edges = (
         _edge_cores(core, adjacency)
@@ -193,7 +240,7 @@ def core_edges_by_k(
     claims, adjacency = _core_numbers(ws, network)
     high = F.col("core") if kmax is None else F.least(F.col("core"), F.lit(kmax))
     return (
-        _edge_cores(claims.df, adjacency)
+        _edge_cores(claims.df.select("vertex", "core"), adjacency)
         .filter("src < dst")
         .filter(high >= kmin)
         .select(

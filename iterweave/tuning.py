@@ -26,9 +26,13 @@ class Tuning:
     # Rebuild an edge table once the live part has shrunk to this share of it.
     compact_below: float = 0.5
 
+    # Recompute all claims of a core decomposition while more than this share of them
+    # fell in the round before; afterwards only those next to a fall.
+    recount_all_above: float = 0.2
+
     # Known sets above this size are not shuffled for a round that found little ...
     large_known_rows: int = 1_000_000
-    # ... which means at most this many rows, broadcast to the known set.
+    # ... which means at most this many rows, a counted number, sent to every executor.
     broadcast_rows: int = 500_000
 
     # A round expected to form more candidate pairs than this is narrowed to the seeds

@@ -20,7 +20,9 @@ LARGE = Tuning(
     colocate_rows=5,
     bucket_rows=10,
     compact_below=0.9,
+    recount_all_above=0.0,
     large_known_rows=1,
+    broadcast_rows=4,
     cover_min_candidates=0,
 )
 # The same, with found sets too large to broadcast.
