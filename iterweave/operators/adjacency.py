@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from iterweave.operators.skew import SLICE, hot_keys, replicate, spread
-from iterweave.workspace import Workspace
+from iterweave.workspace import Stored, Workspace
 
 
 @dataclass(frozen=True)
@@ -23,15 +23,17 @@ class Adjacency:
     source: str
     rows: int
     hot: DataFrame | None
-    broadcast_rows: int
+    ws: Workspace
+    tables: tuple[Stored, ...]
 
     @staticmethod
     def build(ws: Workspace, edges: DataFrame, source: str) -> Adjacency:
         limits = ws.tuning
         staged = ws.materialize(edges, "edges")
-        table, hot, keys = staged.df, None, [source]
+        table, hot, keys, tables = staged.df, None, [source], [staged]
         if staged.rows > limits.hot_key_rows:
             listed = ws.materialize(hot_keys(staged.df, keys, limits.hot_key_rows, limits.max_hot_keys), "hot")
+            tables.append(listed)
             if listed.rows:
                 hot = listed.df
                 others = [F.col(c) for c in edges.columns if c != source]
@@ -39,10 +41,14 @@ class Adjacency:
                 keys = [source, SLICE]
         if staged.rows > limits.colocate_rows:
             buckets = min(limits.max_buckets, -(-staged.rows // limits.bucket_rows))
-            table = ws.materialize_bucketed(table, "adjacency", buckets, keys).df
+            final = ws.materialize_bucketed(table, "adjacency", buckets, keys)
         elif hot is not None:
-            table = ws.materialize(table, "adjacency").df
-        return Adjacency(table, source, staged.rows, hot, limits.broadcast_rows)
+            final = ws.materialize(table, "adjacency")
+        else:
+            return Adjacency(staged.df, source, staged.rows, None, ws, tuple(tables))
+        ws.discard(staged)
+        tables[0] = final
+        return Adjacency(final.df, source, staged.rows, hot, ws, tuple(tables))
 
     def out_of(self, frontier: DataFrame, vertex: str, rows: int | None = None) -> DataFrame:
         """Every edge leaving a frontier vertex, with the frontier's other columns.
@@ -52,10 +58,14 @@ class Adjacency:
         broadcast also needs no slices, since no task receives a whole hub.
         """
         keyed = frontier.withColumnRenamed(vertex, self.source)
-        if rows is not None and rows <= min(self.broadcast_rows, self.rows // 2):
+        if rows is not None and rows <= min(self.ws.tuning.broadcast_rows, self.rows // 2):
             edges = self.edges if self.hot is None else self.edges.drop(SLICE)
             return F.broadcast(keyed).join(edges, self.source)
         if self.hot is None:
             return keyed.join(self.edges, self.source)
         sliced = replicate(keyed, self.hot, [self.source])
         return sliced.join(self.edges, [self.source, SLICE]).drop(SLICE)
+
+    def discard(self) -> None:
+        """Free the edges once no pending plan reads them."""
+        self.ws.discard(*self.tables)

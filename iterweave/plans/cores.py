@@ -17,7 +17,8 @@ from iterweave.workspace import Stored, Workspace
 
 def kcore_vertices(ws: Workspace, network: DataFrame, k: int) -> DataFrame:
     """(v, degree): vertices of the maximal subgraph with all degrees >= k."""
-    alive, _ = _peel(ws, _unit_weights(network), k)
+    alive, adjacency = _peel(ws, _unit_weights(network), k)
+    adjacency.discard()
     return alive.df.toDF("v", "degree")
 
 
@@ -37,7 +38,8 @@ def kcore_in_out(ws: Workspace, follows: DataFrame, k: int) -> DataFrame:
     ends = edges.select(F.col("u").alias("src"), F.col("v").alias("dst"))
     both = ends.unionByName(ends.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     weighted = both.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
-    alive, _ = _peel(ws, weighted, k)
+    alive, adjacency = _peel(ws, weighted, k)
+    adjacency.discard()
     kept = alive.df.select("vertex")
     return edges.join(kept.toDF("u"), "u", "left_semi").join(
         kept.toDF("v"), "v", "left_semi"
@@ -112,7 +114,8 @@ def core_numbers(ws: Workspace, network: DataFrame) -> DataFrame:
     from its degree and repeatedly takes the largest h such that at least h neighbours
     claim h or more; claims only fall and settle on the core numbers, for all k at once.
     """
-    claims, _ = _core_numbers(ws, network)
+    claims, adjacency = _core_numbers(ws, network)
+    adjacency.discard()
     return claims.df.select(F.col("vertex").alias("v"), "core")
 
 
@@ -127,7 +130,8 @@ def _core_numbers(ws: Workspace, network: DataFrame) -> tuple[Stored, Adjacency]
 
     def lower_claims(state: Stored, number: int) -> DataFrame:
         fell = state.metrics["fell"]
-        if number == 1 or fell > ws.tuning.recount_all_above * state.rows:
+        small = adjacency.rows <= ws.tuning.recount_all_edges
+        if small or number == 1 or fell > ws.tuning.recount_all_above * state.rows:
             near = adjacency.out_of(state.df, "vertex").select(F.col("dst").alias("vertex"), "core")
         else:
             near = _claims_around(ws, state.df, fell, adjacency)
@@ -161,16 +165,11 @@ def _claims_around(
         F.col("dst").alias("vertex"), "low", "high"
     )
     claim = state.select("vertex", "core")
-    affected = (
-        hit.join(claim, "vertex").filter("low < core and core <= high").select("vertex").distinct()
-    )
-    rows = None
-    if adjacency.rows > ws.tuning.large_known_rows:
-        # Worth a count: if they are few, the edges are scanned in place.
-        counted = ws.materialize(affected, "affected")
-        affected, rows = counted.df, counted.rows
+    hurt = hit.join(claim, "vertex").filter("low < core and core <= high")
+    # Written for the sake of its size: if they are few, the edges are scanned in place.
+    affected = ws.materialize(hurt.select("vertex").distinct(), "affected")
     return (
-        adjacency.out_of(affected, "vertex", rows)
+        adjacency.out_of(affected.df, "vertex", affected.rows)
         .select(F.col("src").alias("of"), F.col("dst").alias("vertex"))
         .join(claim, "vertex")
         .select(F.col("of").alias("vertex"), "core")

@@ -26,8 +26,10 @@ class Tuning:
     # Rebuild an edge table once the live part has shrunk to this share of it.
     compact_below: float = 0.5
 
-    # Recompute all claims of a core decomposition while more than this share of them
-    # fell in the round before; afterwards only those next to a fall.
+    # Recompute all claims of a core decomposition on networks up to this many edge rows,
+    # and while more than this share of them fell in the round before; otherwise only
+    # those next to a fall.
+    recount_all_edges: int = 1_000_000
     recount_all_above: float = 0.2
 
     # Known sets above this size are not shuffled for a round that found little ...

@@ -105,9 +105,10 @@ class Workspace:
     def rounds(self, name: str, schema: T.StructType) -> RoundLog:
         return RoundLog(self, self.path(name), schema)
 
-    def discard(self, stored: Stored) -> None:
-        """Delete a table that a newer, already written one supersedes."""
-        self._delete(stored.path)
+    def discard(self, *tables: Stored | RoundLog) -> None:
+        """Delete tables that nothing reads any more."""
+        for table in tables:
+            self._delete(table.path)
 
     def close(self) -> None:
         for table in self._tables:
@@ -142,12 +143,12 @@ class RoundLog:
 
     def __init__(self, ws: Workspace, path: str, schema: T.StructType):
         self._ws = ws
-        self._path = path
+        self.path = path
         self._fields = schema.fieldNames()
         self.schema = T.StructType([*schema.fields, T.StructField(self.ROUND, T.LongType())])
 
     def append(self, df: DataFrame, number: int, **measures: Column) -> dict:
-        path = f"{self._path}/{self.ROUND}={number}"
+        path = f"{self.path}/{self.ROUND}={number}"
         return self._ws._write(df.select(*self._fields), path, (), measures)
 
     def read(self, first: int, last: int | None = None) -> DataFrame:
@@ -155,5 +156,5 @@ class RoundLog:
         if first > last:
             return self._ws.spark.createDataFrame([], self.schema)
         reader = self._ws.spark.read.schema(self.schema)
-        paths = [f"{self._path}/{self.ROUND}={n}" for n in range(first, last + 1)]
-        return reader.option("basePath", self._path).parquet(*paths)
+        paths = [f"{self.path}/{self.ROUND}={n}" for n in range(first, last + 1)]
+        return reader.option("basePath", self.path).parquet(*paths)

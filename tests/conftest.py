@@ -20,6 +20,7 @@ LARGE = Tuning(
     colocate_rows=5,
     bucket_rows=10,
     compact_below=0.9,
+    recount_all_edges=0,
     recount_all_above=0.0,
     large_known_rows=1,
     broadcast_rows=4,
@@ -53,6 +54,12 @@ def ws(spark):
         yield workspace
 
 
+@pytest.fixture
+def large_ws(spark):
+    with Workspace(spark, tuning=LARGE) as workspace:
+        yield workspace
+
+
 @pytest.fixture(params=["default", "large", "merged"])
 def any_ws(spark, request):
     tuning = {"default": Tuning(), "large": LARGE, "merged": MERGED}[request.param]

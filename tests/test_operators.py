@@ -80,10 +80,10 @@ def test_relational_steps(table):
     ]
 
 
-def test_common_ancestors_and_depth(any_ws, table):
+def test_common_ancestors_and_depth(large_ws, table):
     links = table([(1, 3), (3, 4), (2, 4), (4, 5)], LINK)
     papers = table([(i, 1990 + i) for i in range(1, 6)], "id long, year long")
-    found = reach.min_hops(any_ws, links, table([(1,), (2,)], "id long"))
+    found = reach.min_hops(large_ws, links, table([(1,), (2,)], "id long"))
     common = cite.common_ancestors(found, papers, block_rows=1)
     assert rows(common) == [(1, 2, 4, 1994, 2, 1), (1, 2, 5, 1995, 3, 2)]
     assert rows(cite.pair_depth(common)) == [(1, 2, 4, 2), (1, 2, 5, 3)]
