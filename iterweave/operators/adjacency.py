@@ -32,7 +32,8 @@ class Adjacency:
         staged = ws.materialize(edges, "edges")
         table, hot, keys, tables = staged.df, None, [source], [staged]
         if staged.rows > limits.hot_key_rows:
-            listed = ws.materialize(hot_keys(staged.df, keys, limits.hot_key_rows, limits.max_hot_keys), "hot")
+            hottest = hot_keys(staged.df, keys, limits.hot_key_rows, limits.max_hot_keys)
+            listed = ws.materialize(hottest, "hot")
             tables.append(listed)
             if listed.rows:
                 hot = listed.df
