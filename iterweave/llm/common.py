@@ -26,3 +26,14 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     A generator is never merged away.
     """
     return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def words_of(data: bytes | None) -> list[bytes]:
+    """The whitespace-separated words of UTF-8 text, A-Z lower-cased: bytes methods treat
+    exactly the ASCII letters and the six ASCII whitespace characters."""
+    return data.lower().split() if data else []
+
+
+def two_word_shingles(words: list[bytes]) -> set:
+    """Distinct pairs of neighbouring words; a single word is its own only shingle."""
+    return set(zip(words, words[1:], strict=False)) if len(words) > 1 else set(words)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from iterweave.llm import op02_line_dedup, op03_mixing
+from iterweave.llm import op02_line_dedup, op03_mixing, op06_bottomk
 from iterweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,8 @@ def op2_line_dedup(spark, sf_dir):
 @query(op03_mixing.SQL)
 def op3_mix_sources(spark, sf_dir):
     return op03_mixing.op3_mix_sources(spark, table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_near_duplicates(spark, sf_dir):
+    return op06_bottomk.op6_near_duplicates(spark, table(spark, sf_dir, "documents"))
