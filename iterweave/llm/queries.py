@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from iterweave.llm import op02_line_dedup, op03_mixing, op06_bottomk
+from iterweave.llm import op02_line_dedup, op03_mixing, op06_bottomk, op07_decontamination
 from iterweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,9 @@ def op3_mix_sources(spark, sf_dir):
 @query()
 def op6_near_duplicates(spark, sf_dir):
     return op06_bottomk.op6_near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_decontaminate(spark, sf_dir):
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return op07_decontamination.op7_decontaminate(spark, docs, items)
