@@ -6,7 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from iterweave.llm import op02_line_dedup, op03_mixing, op06_bottomk, op07_decontamination
+from iterweave.llm import (
+    op02_line_dedup,
+    op03_mixing,
+    op05_toxicity,
+    op06_bottomk,
+    op07_decontamination,
+)
 from iterweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +48,9 @@ def op6_near_duplicates(spark, sf_dir):
 def op7_decontaminate(spark, sf_dir):
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return op07_decontamination.op7_decontaminate(spark, docs, items)
+
+
+@query()
+def op5_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return op05_toxicity.op5_toxicity(spark, docs, labels)
