@@ -12,6 +12,7 @@ from iterweave.llm import (
     op05_toxicity,
     op06_bottomk,
     op07_decontamination,
+    op10_ppm_language,
 )
 from iterweave.llm.common import table
 
@@ -54,3 +55,8 @@ def op7_decontaminate(spark, sf_dir):
 def op5_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return op05_toxicity.op5_toxicity(spark, docs, labels)
+
+
+@query()
+def op10_language_id(spark, sf_dir):
+    return op10_ppm_language.op10_language_id(spark, table(spark, sf_dir, "documents"))
