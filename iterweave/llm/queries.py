@@ -12,6 +12,7 @@ from iterweave.llm import (
     op05_toxicity,
     op06_bottomk,
     op07_decontamination,
+    op09_threshold,
     op10_ppm_language,
 )
 from iterweave.llm.common import table
@@ -57,6 +58,11 @@ def op5_toxicity(spark, sf_dir):
     return op05_toxicity.op5_toxicity(spark, docs, labels)
 
 
+@query(op09_threshold.SQL)
+def op9_exact_top_k(spark, sf_dir):
+    return op09_threshold.op9_exact_top_k(spark, table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op10_language_id(spark, sf_dir):
     return op10_ppm_language.op10_language_id(spark, table(spark, sf_dir, "documents"))
