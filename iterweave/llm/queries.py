@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from iterweave.llm import (
+    op01_warc,
     op02_line_dedup,
     op03_mixing,
+    op04_chat_trees,
     op05_toxicity,
     op06_bottomk,
     op07_decontamination,
@@ -31,6 +33,11 @@ def query(sql: str | None = None):
     return add
 
 
+@query(op01_warc.SQL)
+def op1_warc_derivatives(spark, sf_dir):
+    return op01_warc.op1_warc_derivatives(spark, table(spark, sf_dir, "pages"))
+
+
 @query(op02_line_dedup.SQL)
 def op2_line_dedup(spark, sf_dir):
     return op02_line_dedup.op2_line_dedup(spark, table(spark, sf_dir, "documents"))
@@ -41,6 +48,11 @@ def op3_mix_sources(spark, sf_dir):
     return op03_mixing.op3_mix_sources(spark, table(spark, sf_dir, "documents"))
 
 
+@query(op04_chat_trees.SQL)
+def op4_chat_format(spark, sf_dir):
+    return op04_chat_trees.op4_chat_format(spark, table(spark, sf_dir, "conversations"))
+
+
 @query()
 def op6_near_duplicates(spark, sf_dir):
     return op06_bottomk.op6_near_duplicates(spark, table(spark, sf_dir, "documents"))
