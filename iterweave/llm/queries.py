@@ -14,6 +14,7 @@ from iterweave.llm import (
     op05_toxicity,
     op06_bottomk,
     op07_decontamination,
+    op08_sanitise,
     op09_threshold,
     op10_ppm_language,
 )
@@ -70,6 +71,11 @@ def op5_toxicity(spark, sf_dir):
     return op05_toxicity.op5_toxicity(spark, docs, labels)
 
 
+@query()
+def op8_sanitise(spark, sf_dir):
+    return op08_sanitise.op8_sanitise(spark, table(spark, sf_dir, "documents"))
+
+
 @query(op09_threshold.SQL)
 def op9_exact_top_k(spark, sf_dir):
     return op09_threshold.op9_exact_top_k(spark, table(spark, sf_dir, "embeddings"))
