@@ -35,9 +35,9 @@ from pyspark.sql.window import Window
 
 from iterweave.workspace import Workspace
 
-MAX_ROWS = 12_000
+MAX_ROWS = 10_000
 FOLDS = 3
-FEATURES = 1_500
+FEATURES = 800
 MIN_ROWS = 3  # a feature is in at least so many of the labelled rows
 GRAM = 5
 THRESHOLD = 0.3  # rather one clean text too many out than a toxic one in
@@ -79,6 +79,27 @@ class Lookup:
         return sorted(found)
 
 
+@dataclass
+class Rows:
+    """Which features each row has: ``of[i]`` is a feature of row ``at[i]``."""
+
+    count: int
+    at: np.ndarray
+    of: np.ndarray
+
+    @staticmethod
+    def gather(lists: list[list[int]]) -> Rows:
+        sizes = np.array([len(x) for x in lists], np.int64)
+        flat = np.fromiter((f for x in lists for f in x), np.int32, int(sizes.sum()))
+        return Rows(len(lists), np.repeat(np.arange(len(lists)), sizes), flat)
+
+    def only(self, kept: np.ndarray) -> Rows:
+        """The rows where ``kept`` is true, numbered anew."""
+        number = np.cumsum(kept) - 1
+        inside = kept[self.at]
+        return Rows(int(kept.sum()), number[self.at[inside]], self.of[inside])
+
+
 @dataclass
 class Link:
     """One logistic model: weights by feature number, and of the earlier categories."""
@@ -88,6 +109,12 @@ class Link:
     earlier: np.ndarray
     bias: float
 
+    def predict(self, rows: Rows, earlier: np.ndarray, features: int) -> np.ndarray:
+        weight = np.zeros(features + 1)
+        weight[self.features] = self.weights
+        score = np.bincount(rows.at, weight[rows.of], rows.count)
+        return sigmoid(score + earlier @ self.earlier + self.bias)
+
 
 @dataclass
 class Chain:
@@ -95,17 +122,11 @@ class Chain:
     features: list[str] = field(default_factory=list)
     links: list[Link] = field(default_factory=list)
 
-    def predict(self, rows: list[list[int]]) -> np.ndarray:
+    def predict(self, rows: Rows) -> np.ndarray:
         """Probabilities by row and category."""
-        out = np.zeros((len(rows), len(self.categories)))
-        sizes = np.array([len(r) for r in rows], np.int64)
-        at = np.repeat(np.arange(len(rows)), sizes)
-        flat = np.array([f for r in rows for f in r], np.int64)
+        out = np.zeros((rows.count, len(self.categories)))
         for number, link in enumerate(self.links):
-            weight = np.zeros(len(self.features) + 1)
-            weight[link.features] = link.weights
-            score = np.bincount(at, weight[flat], len(rows)) + link.bias
-            out[:, number] = sigmoid(score + out[:, :number] @ link.earlier)
+            out[:, number] = link.predict(rows, out[:, :number], len(self.features))
         return out
 
 
@@ -114,19 +135,19 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_link(
-    rows: list[list[int]], earlier: np.ndarray, y: np.ndarray, chosen: np.ndarray, steps: int = 300
+    rows: Rows, earlier: np.ndarray, y: np.ndarray, chosen: np.ndarray, features: int, steps: int = 200
 ) -> Link:
     """Ridge logistic regression by accelerated gradient descent."""
-    count, width = len(rows), len(chosen)
+    count, width = rows.count, len(chosen)
     share = (y.sum() + 0.5) / (count + 1.0)
     if not count or y.min() == y.max():
         # Of one kind only: its share, as a constant.
-        constant = 0.0 if not count else float(y[0])
-        bias = 30.0 if constant else -30.0
+        bias = 30.0 if count and y[0] else -30.0
         return Link(chosen[:0], np.empty(0), np.zeros(earlier.shape[1]), bias)
-    place = {int(f): i for i, f in enumerate(chosen)}
-    pairs = [(i, place[f]) for i, r in enumerate(rows) for f in r if f in place]
-    at, of = (np.array(x, np.int64) for x in zip(*pairs, strict=True)) if pairs else (np.empty(0, np.int64),) * 2
+    place = np.full(features, -1)
+    place[chosen] = np.arange(width)
+    inside = place[rows.of] >= 0
+    at, of = rows.at[inside], place[rows.of[inside]]
     extra = np.hstack([earlier, np.ones((count, 1))])
     # Rows with many features bound the curvature of the loss.
     spread = np.bincount(at, minlength=count).max(initial=0) + extra.shape[1]
@@ -252,24 +273,22 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], ws:
 
     fields = [rows.schema[c] for c in ["doc_id", "fold", *names]]
     schema = T.StructType([*fields, T.StructField("features", T.ArrayType(T.IntegerType()))])
-    data = sorted(rows.mapInArrow(used, schema).collect())  # at most MAX_ROWS rows
-    uses = [r["features"] for r in data]
-    folds = np.array([r["fold"] for r in data], np.int64)
+    data = rows.mapInArrow(used, schema).toArrow().sort_by("doc_id")  # at most MAX_ROWS rows
+    lists = data.column("features").combine_chunks()
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+    uses = Rows(data.num_rows, np.repeat(np.arange(data.num_rows), sizes), lists.flatten().to_numpy())
+    folds = data.column("fold").to_numpy()
     chain = Chain(names, features)
-    unseen = np.zeros((len(data), len(names)))  # out-of-fold probabilities
+    unseen = np.zeros((data.num_rows, len(names)))  # out-of-fold probabilities
     for at, name in enumerate(names):
-        y = np.array([r[name] for r in data], float)
+        y = data.column(name).to_numpy().astype(float)
         earlier = unseen[:, :at]
-        chain.links.append(fit_link(uses, earlier, y, by_model[name, FOLDS]))
+        chain.links.append(fit_link(uses, earlier, y, by_model[name, FOLDS], len(features)))
         if at + 1 < len(names):
             for f in range(FOLDS):
-                learn, hold = np.flatnonzero(folds != f), np.flatnonzero(folds == f)
-                link = fit_link([uses[i] for i in learn], earlier[learn], y[learn], by_model[name, f])
-                weight = np.zeros(len(features) + 1)
-                weight[link.features] = link.weights
-                for i in hold:
-                    score = weight[uses[i]].sum() + earlier[i] @ link.earlier + link.bias
-                    unseen[i, at] = sigmoid(np.array(score))
+                hold = folds == f
+                link = fit_link(uses.only(~hold), earlier[~hold], y[~hold], by_model[name, f], len(features))
+                unseen[hold, at] = link.predict(uses.only(hold), earlier[hold], len(features))
     return chain
 
 
@@ -292,7 +311,7 @@ def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFr
         lookup = Lookup(model.value.features)
         for batch in batches:
             rows = [lookup.of(t) for t in batch.column("text").to_pylist()]
-            p = model.value.predict(rows)
+            p = model.value.predict(Rows.gather(rows))
             reached = p[:, -1] >= threshold if model.value.links else np.zeros(len(rows), bool)
             reached &= np.array([len(r) > 0 for r in rows], bool)
             yield pa.RecordBatch.from_arrays(
