@@ -1,7 +1,7 @@
 """Program inputs derived from the order tables, each from whole tables.
 
 papers      a part is a paper, published in 1950 + its size
-citations   a line's part cites the lowest-numbered part on the next line of its order
+citations   a line's part cites the parts on the next line of its order
 seeds       the papers of the newest year
 network     the citations as an undirected co-purchase network
 poi, halos  a customer is a particle; its group in a year is the priority class of its
@@ -40,8 +40,8 @@ class Inputs:
         lines = self.table("lineitem").select(
             F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"), "l_partkey"
         )
-        # Cited parts are one row per order line, so the join never multiplies rows.
-        cited = lines.groupBy("o", (F.col("n") - 1).alias("n")).agg(F.min("l_partkey").alias("p2"))
+        # An order has a few lines, so a line number repeats a few times at most.
+        cited = lines.select("o", (F.col("n") - 1).alias("n"), F.col("l_partkey").alias("p2"))
         return lines.join(cited, ["o", "n"]).select(F.col("l_partkey").alias("p1"), "p2")
 
     def citations(self) -> DataFrame:

@@ -6,14 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def pick_min(id1: Column, id2: Column, val1: Column, val2: Column) -> Column:
-    """The value that belongs to the smaller id (the second one on a tie)."""
-    return F.when(id1 < id2, val1).otherwise(val2)
-
-
-def pick_max(id1: Column, id2: Column, val1: Column, val2: Column) -> Column:
-    """The value that belongs to the larger id (the second one on a tie)."""
-    return F.when(id1 > id2, val1).otherwise(val2)
+def in_id_order(one: Column, other: Column) -> Column:
+    """Two structs with a field ``id`` as (low, high): the smaller id first."""
+    as_is = F.struct(one.alias("low"), other.alias("high"))
+    swapped = F.struct(other.alias("low"), one.alias("high"))
+    return F.when(one["id"] < other["id"], as_is).otherwise(swapped)
 
 
 def greater(a: Column, b: Column) -> Column:

@@ -1,9 +1,8 @@
 """The static side of a graph loop: edges keyed by their source vertex.
 
-A loop joins this table with a new frontier every round.  Large edge sets are
-distributed on the join key once, at build time, so that a round shuffles only the
-frontier; hot sources are cut into slices first, so that the bucket holding a hub is
-no larger than the others.
+A loop joins this table with a new frontier every round.  Edges are distributed on the
+join key once, at build time, so that a round shuffles only the frontier; hot sources are
+cut into slices first, so that the bucket holding a hub is no larger than the others.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ class Adjacency:
     edges: DataFrame
     source: str
     rows: int
-    hot: DataFrame | None
+    hot: DataFrame
     ws: Workspace
     tables: tuple[Stored, ...]
 
@@ -30,40 +29,17 @@ class Adjacency:
     def build(ws: Workspace, edges: DataFrame, source: str) -> Adjacency:
         limits = ws.tuning
         staged = ws.materialize(edges, "edges")
-        table, hot, keys, tables = staged.df, None, [source], [staged]
-        if staged.rows > limits.hot_key_rows:
-            hottest = hot_keys(staged.df, keys, limits.hot_key_rows, limits.max_hot_keys)
-            listed = ws.materialize(hottest, "hot")
-            tables.append(listed)
-            if listed.rows:
-                hot = listed.df
-                others = [F.col(c) for c in edges.columns if c != source]
-                table = spread(staged.df, hot, keys, others)
-                keys = [source, SLICE]
-        if staged.rows > limits.colocate_rows:
-            buckets = min(limits.max_buckets, -(-staged.rows // limits.bucket_rows))
-            final = ws.materialize_bucketed(table, "adjacency", buckets, keys)
-        elif hot is not None:
-            final = ws.materialize(table, "adjacency")
-        else:
-            return Adjacency(staged.df, source, staged.rows, None, ws, tuple(tables))
+        hot = ws.materialize(hot_keys(staged.df, [source], limits.hot_key_rows), "hot")
+        others = [F.col(c) for c in edges.columns if c != source]
+        table = spread(staged.df, hot.df, [source], others)
+        buckets = max(ws.partitions, -(-staged.rows // limits.bucket_rows))
+        final = ws.materialize_bucketed(table, "adjacency", buckets, [source, SLICE])
         ws.discard(staged)
-        tables[0] = final
-        return Adjacency(final.df, source, staged.rows, hot, ws, tuple(tables))
+        return Adjacency(final.df, source, staged.rows, hot.df, ws, (final, hot))
 
-    def out_of(self, frontier: DataFrame, vertex: str, rows: int | None = None) -> DataFrame:
-        """Every edge leaving a frontier vertex, with the frontier's other columns.
-
-        ``rows`` is the counted size of the frontier, or a bound on it, if the caller has
-        one: a short frontier is then broadcast and the edges are scanned in place.  A
-        broadcast also needs no slices, since no task receives a whole hub.
-        """
+    def out_of(self, frontier: DataFrame, vertex: str) -> DataFrame:
+        """Every edge leaving a frontier vertex, with the frontier's other columns."""
         keyed = frontier.withColumnRenamed(vertex, self.source)
-        if rows is not None and rows <= min(self.ws.tuning.broadcast_rows, self.rows // 2):
-            edges = self.edges if self.hot is None else self.edges.drop(SLICE)
-            return F.broadcast(keyed).join(edges, self.source)
-        if self.hot is None:
-            return keyed.join(self.edges, self.source)
         sliced = replicate(keyed, self.hot, [self.source])
         return sliced.join(self.edges, [self.source, SLICE]).drop(SLICE)
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from iterweave.functions.expressions import greater, pick_max, pick_min
+from iterweave.functions.expressions import greater, in_id_order
 from iterweave.operators.skew import pair_join
 from iterweave.sources.graph import drop_self_edges
 from iterweave.tuning import DEFAULT
@@ -77,7 +77,6 @@ def new_pairs(found: DataFrame, known: DataFrame) -> DataFrame:
 def common_ancestors(
     reach: DataFrame,
     papers: DataFrame,
-    max_seeds: int | None = None,
     block_rows: int = DEFAULT.pair_block_rows,
 ) -> DataFrame:
     """(p1, p2, ca, year, d1, d2) for every ancestor shared by two seeds, p1 < p2."""
@@ -85,7 +84,7 @@ def common_ancestors(
     b = reach.select("vertex", F.col("seed").alias("p2"), F.col("d").alias("d2"))
     year = papers.select(F.col("id").alias("ca"), "year")
     return (
-        pair_join(a, b, "vertex", "p2", max_seeds, block_rows)
+        pair_join(a, b, "vertex", "p2", block_rows)
         .filter(F.col("p1") < F.col("p2"))
         .withColumnRenamed("vertex", "ca")
         .join(year, "ca")
@@ -98,22 +97,24 @@ def pair_depth(common: DataFrame) -> DataFrame:
     return common.select("p1", "p2", "ca", greater(F.col("d1"), F.col("d2")).alias("depth"))
 
 
+def meeting(s1: Column, d1: Column, s2: Column, d2: Column) -> list[Column]:
+    """(p1, p2, d1, d2): two seeds that met, and their distances, in id order."""
+    side = [F.struct(s.alias("id"), d.alias("d")) for s, d in ((s1, d1), (s2, d2))]
+    ordered = in_id_order(*side)
+    return [
+        ordered[end][field].alias(name)
+        for field, names in (("id", ("p1", "p2")), ("d", ("d1", "d2")))
+        for end, name in zip(("low", "high"), names, strict=True)
+    ]
+
+
 def oriented_meetings(
-    delta: DataFrame,
-    reach: DataFrame,
-    max_seeds: int | None = None,
-    block_rows: int = DEFAULT.pair_block_rows,
+    delta: DataFrame, reach: DataFrame, block_rows: int = DEFAULT.pair_block_rows
 ) -> DataFrame:
     """Meetings of newly reached rows with all reached rows of other seeds, with the
     pair put in id order: (p1, p2, ca, d1, d2), each once."""
     r1 = delta.select("vertex", F.col("seed").alias("s1"), F.col("d").alias("e1"))
     r2 = reach.select("vertex", F.col("seed").alias("s2"), F.col("d").alias("e2"))
-    met = pair_join(r1, r2, "vertex", "s2", max_seeds, block_rows).filter(F.col("s1") != F.col("s2"))
-    s1, s2, e1, e2 = (F.col(c) for c in ("s1", "s2", "e1", "e2"))
-    return met.select(
-        pick_min(s1, s2, s1, s2).alias("p1"),
-        pick_max(s1, s2, s1, s2).alias("p2"),
-        F.col("vertex").alias("ca"),
-        pick_min(s1, s2, e1, e2).alias("d1"),
-        pick_max(s1, s2, e1, e2).alias("d2"),
-    ).distinct()
+    met = pair_join(r1, r2, "vertex", "s2", block_rows).filter(F.col("s1") != F.col("s2"))
+    sides = meeting(*(F.col(c) for c in ("s1", "e1", "s2", "e2")))
+    return met.select(*sides, F.col("vertex").alias("ca")).distinct()

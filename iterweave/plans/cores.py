@@ -35,10 +35,7 @@ def kcore_in_out(ws: Workspace, follows: DataFrame, k: int) -> DataFrame:
     the peeling and appear again in the result.
     """
     edges = ws.materialize(follows.filter(F.col("u") != F.col("v")), "follows").df
-    ends = edges.select(F.col("u").alias("src"), F.col("v").alias("dst"))
-    both = ends.unionByName(ends.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    weighted = both.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
-    alive, adjacency = _peel(ws, weighted, k)
+    alive, adjacency = _peel(ws, _both_ways(edges), k)
     adjacency.discard()
     kept = alive.df.select("vertex")
     return edges.join(kept.toDF("u"), "u", "left_semi").join(
@@ -46,6 +43,13 @@ def kcore_in_out(ws: Workspace, follows: DataFrame, k: int) -> DataFrame:
     ).select("u", "v")
 
 
+def _both_ways(edges: DataFrame) -> DataFrame:
+    """A directed multigraph as weighted undirected edges, in both directions."""
+    ends = edges.select(F.col("u").alias("src"), F.col("v").alias("dst"))
+    both = ends.unionByName(ends.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    return both.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
+
+
 def _unit_weights(network: DataFrame) -> DataFrame:
     return network.select(
         F.col("u").alias("src"), F.col("v").alias("dst"), F.lit(1).cast("long").alias("w")
@@ -56,8 +60,7 @@ def _peel(ws: Workspace, weighted: DataFrame, k: int) -> tuple[Stored, Adjacency
     """Remove vertices below degree k until none is left.
 
     A round sends messages only from the vertices it removes; the state it rewrites is
-    one row per vertex.  The edge table stays where it is and is only rewritten, to the
-    live part, when more than half of it has become dead weight.
+    one row per vertex.  The edge table stays where it is.
     """
     adjacency = Adjacency.build(ws, weighted, "src")
     degree = F.col("degree")
@@ -70,23 +73,16 @@ def _peel(ws: Workspace, weighted: DataFrame, k: int) -> tuple[Stored, Adjacency
     )
 
     def remove_low(state: Stored, _: int) -> DataFrame:
-        nonlocal adjacency
         kept = state.df.filter(~low)
         lost = (
-            adjacency.out_of(
-                state.df.filter(low).select("vertex"), "vertex", state.metrics["low"]
-            )
+            adjacency.out_of(state.df.filter(low).select("vertex"), "vertex")
             .groupBy("dst")
             .agg(F.sum("w").alias("lost"))
             .withColumnRenamed("dst", "vertex")
         )
-        left = kept.join(lost, "vertex", "left").select(
+        return kept.join(lost, "vertex", "left").select(
             "vertex", (degree - F.coalesce("lost", F.lit(0).cast("long"))).alias("degree")
         )
-        if state.metrics["live"] < ws.tuning.compact_below * adjacency.rows:
-            # This round's messages are planned on the old table already.
-            adjacency = Adjacency.build(ws, _induced(kept, adjacency), "src")
-        return left
 
     final = replace_until(
         ws,
@@ -95,7 +91,6 @@ def _peel(ws: Workspace, weighted: DataFrame, k: int) -> tuple[Stored, Adjacency
         lambda _, state: not state.metrics["low"],
         name="degrees",
         low=F.count_if(low),
-        live=F.coalesce(F.sum("degree"), F.lit(0)),
     )
     return final, adjacency
 
@@ -114,27 +109,24 @@ def core_numbers(ws: Workspace, network: DataFrame) -> DataFrame:
     from its degree and repeatedly takes the largest h such that at least h neighbours
     claim h or more; claims only fall and settle on the core numbers, for all k at once.
     """
-    claims, adjacency = _core_numbers(ws, network)
+    claims, adjacency = _core_numbers(ws, _unit_weights(network))
     adjacency.discard()
     return claims.df.select(F.col("vertex").alias("v"), "core")
 
 
-def _core_numbers(ws: Workspace, network: DataFrame) -> tuple[Stored, Adjacency]:
+def _core_numbers(ws: Workspace, weighted: DataFrame) -> tuple[Stored, Adjacency]:
     """State (vertex, core, was): the claims of this round and of the one before."""
-    edges = network.select(F.col("u").alias("src"), F.col("v").alias("dst"))
-    adjacency = Adjacency.build(ws, edges, "src")
+    adjacency = Adjacency.build(ws, weighted, "src")
     core, was = F.col("core"), F.col("was")
-    start = adjacency.edges.groupBy(F.col("src").alias("vertex")).agg(
-        F.count(F.lit(1)).alias("core")
-    )
+    start = adjacency.edges.groupBy(F.col("src").alias("vertex")).agg(F.sum("w").alias("core"))
 
     def lower_claims(state: Stored, number: int) -> DataFrame:
-        fell = state.metrics["fell"]
-        small = adjacency.rows <= ws.tuning.recount_all_edges
-        if small or number == 1 or fell > ws.tuning.recount_all_above * state.rows:
-            near = adjacency.out_of(state.df, "vertex").select(F.col("dst").alias("vertex"), "core")
+        if number == 1:  # no claim has been checked yet
+            near = adjacency.out_of(state.df, "vertex").select(
+                F.col("dst").alias("vertex"), "core", "w"
+            )
         else:
-            near = _claims_around(ws, state.df, fell, adjacency)
+            near = _claims_around(state.df, adjacency)
         old = state.df.select("vertex", core.alias("was"))
         new = old.join(_supported_claim(near), "vertex", "left")
         return new.select("vertex", F.coalesce("claim", "was").alias("core"), "was")
@@ -150,10 +142,9 @@ def _core_numbers(ws: Workspace, network: DataFrame) -> tuple[Stored, Adjacency]
     return final, adjacency
 
 
-def _claims_around(
-    ws: Workspace, state: DataFrame, fell: int, adjacency: Adjacency
-) -> DataFrame:
-    """(vertex, core of a neighbour) for the vertices whose own claim may have to fall.
+def _claims_around(state: DataFrame, adjacency: Adjacency) -> DataFrame:
+    """(vertex, core of a neighbour, weight of the edge) for the vertices whose own claim
+    may have to fall.
 
     A neighbour's fall from ``was`` to ``core`` only hurts claims in between: higher ones
     never counted it, lower ones still do.
@@ -161,25 +152,23 @@ def _claims_around(
     dropped = state.filter("core < was").select(
         "vertex", F.col("core").alias("low"), F.col("was").alias("high")
     )
-    hit = adjacency.out_of(dropped, "vertex", fell).select(
+    hit = adjacency.out_of(dropped, "vertex").select(
         F.col("dst").alias("vertex"), "low", "high"
     )
     claim = state.select("vertex", "core")
     hurt = hit.join(claim, "vertex").filter("low < core and core <= high")
-    # Written for the sake of its size: if they are few, the edges are scanned in place.
-    affected = ws.materialize(hurt.select("vertex").distinct(), "affected")
     return (
-        adjacency.out_of(affected.df, "vertex", affected.rows)
-        .select(F.col("src").alias("of"), F.col("dst").alias("vertex"))
+        adjacency.out_of(hurt.select("vertex").distinct(), "vertex")
+        .select(F.col("src").alias("of"), F.col("dst").alias("vertex"), "w")
         .join(claim, "vertex")
-        .select(F.col("of").alias("vertex"), "core")
+        .select(F.col("of").alias("vertex"), "core", "w")
     )
 
 
 def _supported_claim(near: DataFrame) -> DataFrame:
-    """(vertex, claim): the largest h with at least h neighbour claims of h or more.
+    """(vertex, claim): the largest h that edges to neighbours claiming h or more weigh.
 
-    A hub may have any number of neighbours, but they are counted per claimed value
+    A hub may have any number of neighbours, but they are summed per claimed value
     before the shuffle, and E edges allow at most sqrt(2E) different degrees.
     """
     strongest_first = (
@@ -189,7 +178,7 @@ def _supported_claim(near: DataFrame) -> DataFrame:
     )
     return (
         near.groupBy("vertex", "core")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("w").alias("n"))
         .withColumn("support", F.sum("n").over(strongest_first))
         .groupBy("vertex")
         .agg(F.max(F.least("core", "support")).alias("claim"))
@@ -204,15 +193,42 @@ def core_sizes(
     Cores are nested, so an edge is in all cores up to the smaller core number of its
     ends: two counts per core number, summed from the deepest core outwards.
     """
-    claims, adjacency = _core_numbers(ws, network)
+    claims, adjacency = _core_numbers(ws, _unit_weights(network))
+    core = claims.df.select("vertex", "core")
+    return _nested_sizes(core, _edge_cores(core, adjacency).filter("src < dst"), kmin, kmax)
+
+
+def core_sizes_in_out(
+    ws: Workspace, follows: DataFrame, kmin: int = 1, kmax: int | None = None
+) -> DataFrame:
+    """(k, vertices, edges) as ``core_sizes``, for directed edges and in + out degrees;
+    parallel edges count separately."""
+    core, edges = _directed_cores(ws, follows)
+    return _nested_sizes(core, edges, kmin, kmax)
+
+
+def core_edges_by_k_in_out(
+    ws: Workspace, follows: DataFrame, kmin: int = 1, kmax: int | None = None
+) -> DataFrame:
+    """(k, u, v): the edges of every in + out core, in their own direction."""
+    _, edges = _directed_cores(ws, follows)
+    return _per_k(edges.toDF("u", "v", "core"), kmin, kmax)
+
+
+def _directed_cores(ws: Workspace, follows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(vertex, core) and (src, dst, core) of a directed multigraph, without self-edges."""
+    edges = ws.materialize(follows.filter(F.col("u") != F.col("v")), "follows").df
+    claims, adjacency = _core_numbers(ws, _both_ways(edges))
+    adjacency.discard()
     core = claims.df.select("vertex", "core")
+    near, far = core.toDF("u", "near"), core.toDF("v", "far")
+    inside = edges.join(near, "u").join(far, "v")
+    return core, inside.select("u", "v", F.least("near", "far").alias("core"))
+
+
+def _nested_sizes(core: DataFrame, edges: DataFrame, kmin: int, kmax: int | None) -> DataFrame:
     vertices = core.groupBy("core").agg(F.count(F.lit(1)).alias("v"))
-    edges = (
-        _edge_cores(core, adjacency)
-        .filter("src < dst")
-        .groupBy("core")
-        .agg(F.count(F.lit(1)).alias("e"))
-    )
+    edges = edges.groupBy("core").agg(F.count(F.lit(1)).alias("e"))
     per_core = vertices.join(edges, "core", "left").withColumn("e", F.coalesce("e", F.lit(0)))
     # One row per core number from here on.
     outwards = W.orderBy(F.desc("core")).rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -236,18 +252,15 @@ def core_edges_by_k(
     ws: Workspace, network: DataFrame, kmin: int = 1, kmax: int | None = None
 ) -> DataFrame:
     """(k, u, v), u < v: the edges of every core with kmin <= k <= kmax."""
-    claims, adjacency = _core_numbers(ws, network)
+    claims, adjacency = _core_numbers(ws, _unit_weights(network))
+    edges = _edge_cores(claims.df.select("vertex", "core"), adjacency).filter("src < dst")
+    return _per_k(edges.toDF("u", "v", "core"), kmin, kmax)
+
+
+def _per_k(edges: DataFrame, kmin: int, kmax: int | None) -> DataFrame:
     high = F.col("core") if kmax is None else F.least(F.col("core"), F.lit(kmax))
-    return (
-        _edge_cores(claims.df.select("vertex", "core"), adjacency)
-        .filter("src < dst")
-        .filter(high >= kmin)
-        .select(
-            F.explode(F.sequence(F.lit(kmin).cast("long"), high.cast("long"))).alias("k"),
-            F.col("src").alias("u"),
-            F.col("dst").alias("v"),
-        )
-    )
+    k = F.explode(F.sequence(F.lit(kmin).cast("long"), high.cast("long")))
+    return edges.filter(high >= kmin).select(k.alias("k"), "u", "v")
 
 
 def _edge_cores(core: DataFrame, adjacency: Adjacency) -> DataFrame:

@@ -16,12 +16,8 @@ from iterweave.plans import cores, lca, mergertree, reach
 from iterweave.sources import graph, manifest, text
 from iterweave.workspace import Workspace
 
-# Parameters of the registered queries.
-K = 15
-K_IN_OUT = 15
+# Parameters of the registered queries; thresholds follow the data.
 FIRST_SEEDS = 20
-MIN_PARTICLES = 42
-MIN_SHARED = 9
 SAMPLE_RATE = 0.25
 
 Query = Callable[[Inputs, Workspace], DataFrame]
@@ -67,10 +63,11 @@ def manifest_ingest(t, ws):
     path = ws.path("customer_csv")
     customer = t.table("customer").select("c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment")
     sinks.write_delimited(customer, path, delimiter="|")
+    # The field names are fixed by the manifest format.
     document = {
         "relationKey": {
-            "userName": "public",
-            "programName": "adhoc",
+            "userName": "shop",
+            "programName": "nightly",
             "relationName": "customer",
         },
         "schema": {
@@ -80,7 +77,8 @@ def manifest_ingest(t, ws):
         "source": {"dataType": "URI", "uri": path},
         "delimiter": "|",
     }
-    read = manifest.ingest(ws.spark, document)
+    manifest.ingest(ws.spark, document)
+    read = sinks.scan(ws.spark, manifest.Manifest.parse(document).relation)
     return read.withColumn("nation", F.col("nation").cast("double"))
 
 
@@ -123,7 +121,34 @@ def first_n_seeds(t, ws):
 
 @query
 def edge_sample_bernoulli(t, ws):
-    return graph.sample_edges(t.citations_raw(), SAMPLE_RATE)
+    """What must hold of the sample, which itself depends on the file layout."""
+    edges = ws.materialize(t.citations_raw().distinct(), "edges")
+    drawn = ws.materialize(graph.sample_edges(edges.df, SAMPLE_RATE), "drawn")
+    outside = drawn.df.join(edges.df, ["p1", "p2"], "left_anti").agg(
+        F.count(F.lit(1)).alias("outside")
+    )
+    spread = 6 * (edges.rows * SAMPLE_RATE * (1 - SAMPLE_RATE)) ** 0.5
+    distinct = drawn.df.distinct().count()
+    return outside.select(
+        "outside",
+        F.lit(drawn.rows - distinct).cast("long").alias("repeated"),
+        F.lit(abs(drawn.rows - edges.rows * SAMPLE_RATE) <= spread).alias("near_rate"),
+    )
+
+
+@query
+def lines_from_files(t, ws):
+    path = ws.path("lines")
+    t.raw_lines().write.text(path)
+    return text.lenient_parse(text.read_lines(ws.spark, path))
+
+
+@query
+def csv_rejects(t, ws):
+    path = ws.path("lines")
+    t.raw_lines().write.text(path)
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("p1", "p2")])
+    return text.count_rejects(ws.spark, path, schema)
 
 
 @query
@@ -141,12 +166,22 @@ def symmetrize(t, ws):
 
 @query
 def store_roundtrip(t, ws):
-    stored = sinks.store(t.papers(), ws.path("papers"))
+    name = ws.name("papers")
+    stored = sinks.store(t.papers(), name)
     path = ws.path("papers_csv")
     sinks.write_delimited(stored, path)
     return text.read_delimited(ws.spark, path, stored.schema)
 
 
+@query
+def store_over_itself(t, ws):
+    name = ws.name("papers")
+    sinks.store(t.papers(), name)
+    year = F.col("year")
+    newer = sinks.scan(ws.spark, name).filter(year > 1975).withColumn("year", year + 1)
+    return sinks.store(newer, name)
+
+
 @query
 def lca_report(t, ws):
     path = ws.path("report")
@@ -156,12 +191,23 @@ def lca_report(t, ws):
     return text.read_delimited(ws.spark, path, schema, header=True)
 
 
+def _core_files(t, ws, edges_by_k):
+    """Written and read back; the k of a file is the name of its folder."""
+    path = ws.path("cores")
+    sinks.write_core_edges(edges_by_k, path)
+    fields = [T.StructField(n, T.LongType()) for n in ("u", "v", "k")]
+    read = ws.spark.read.schema(T.StructType(fields)).option("sep", "\t").csv(path)
+    return read.select("k", "u", "v")
+
+
 @query
 def core_edges_by_k(t, ws):
-    path = ws.path("cores")
-    sinks.write_core_edges(cores.core_edges_by_k(ws, t.network()), path)
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("u", "v", "k")])
-    return text.read_delimited(ws.spark, path, schema, delimiter="\t").select("k", "u", "v")
+    return _core_files(t, ws, cores.core_edges_by_k(ws, t.network()))
+
+
+@query
+def core_edges_by_k_in_out(t, ws):
+    return _core_files(t, ws, cores.core_edges_by_k_in_out(ws, t.follows()))
 
 
 @query
@@ -219,7 +265,7 @@ def pair_depth(t, ws):
 @query
 def pick_min_max(t, ws):
     found = _reach(t, ws)
-    return cite.oriented_meetings(found.filter("d = 2"), found.filter("d <= 2"))
+    return cite.oriented_meetings(found, found)
 
 
 # --- reachability ------------------------------------------------------------
@@ -274,6 +320,15 @@ def lca_no_temporal_filter(t, ws):
     return _lca(t, ws, temporal_filter=False)
 
 
+@query
+def lca_implicit_vertices(t, ws):
+    """Papers with an odd id have no row of their own."""
+    known = t.papers().filter(F.col("id") % 2 == 0)
+    return lca.least_common_ancestors(
+        ws, known, t.citations_raw(), t.seeds(), implicit_vertices=True
+    )
+
+
 @query
 def cocitation_lca(t, ws):
     return lca.cocitation_lca(ws, t.papers(), t.citations(), t.papers().select("id"))
@@ -292,24 +347,41 @@ def vertex_degree_in_out(t, ws):
     return degrees.vertex_degree_in_out(t.follows())
 
 
+def _half_degree(degree):
+    """Half the mean degree, rounded up: a core of that order always exists."""
+    k = F.ceil(F.sum("degree") / (2 * F.count(F.lit(1))))
+    return degree.agg(k.cast("long").alias("k")).first()[0] or 1
+
+
+def _network(t, ws):
+    network = ws.materialize(t.network(), "network").df
+    return network, _half_degree(degrees.vertex_degree(network))
+
+
 @query
 def degree_filter(t, ws):
-    return degrees.degree_filter(ws.materialize(t.network(), "network").df, K)
+    return degrees.degree_filter(*_network(t, ws))
 
 
 @query
 def kcore_edges(t, ws):
-    return cores.kcore_edges(ws, t.network(), K)
+    return cores.kcore_edges(ws, *_network(t, ws))
 
 
 @query
 def kcore_vertices(t, ws):
-    return cores.kcore_vertices(ws, t.network(), K)
+    return cores.kcore_vertices(ws, *_network(t, ws))
 
 
 @query
 def kcore_in_out(t, ws):
-    return cores.kcore_in_out(ws, t.follows(), K_IN_OUT)
+    follows = ws.materialize(t.follows(), "follows").df
+    return cores.kcore_in_out(ws, follows, _half_degree(degrees.vertex_degree_in_out(follows)))
+
+
+@query
+def core_sizes_in_out(t, ws):
+    return cores.core_sizes_in_out(ws, t.follows())
 
 
 @query
@@ -325,16 +397,22 @@ def core_sizes(t, ws):
 # --- merger tree -------------------------------------------------------------
 
 
+def _mean(df, column):
+    """The whole part of the mean."""
+    return df.agg(F.expr(f"sum({column}) div count(*)")).first()[0]
+
+
 def _halos(t):
-    return mergertree.significant_halos(t.halos(), MIN_PARTICLES)
+    return mergertree.significant_halos(t.halos(), _mean(t.halos(), "totalParticles"))
 
 
 def _particles(t):
     return mergertree.significant_particles(t.poi(), _halos(t))
 
 
-def _weighted(t):
-    return mergertree.weighted_edges(mergertree.snapshot_transitions(_particles(t)), MIN_SHARED)
+def _weighted(t, ws):
+    found = ws.materialize(mergertree.snapshot_transitions(_particles(t)), "transitions").df
+    return mergertree.weighted_edges(found, _mean(found, "sharedParticleCount"))
 
 
 def _tree(t, ws, **options):
@@ -342,8 +420,17 @@ def _tree(t, ws, **options):
     halos = poi.groupBy(
         "nowGroup", F.col("grp").alias("grpID"), F.col("timestep").alias("timeStep")
     ).agg(F.count(F.lit(1)).alias("totalParticles"))
+    limit = _mean(halos, "totalParticles")
+    shared = mergertree.snapshot_transitions(
+        mergertree.significant_particles(poi, mergertree.significant_halos(halos, limit))
+    )
     return mergertree.merger_tree(
-        ws, poi, halos, min_particles=MIN_PARTICLES, min_shared=MIN_SHARED, **options
+        ws,
+        poi,
+        halos,
+        min_particles=limit,
+        min_shared=_mean(shared, "sharedParticleCount"),
+        **options,
     )
 
 
@@ -374,12 +461,12 @@ def snapshot_transitions(t, ws):
 
 @query
 def weighted_edges(t, ws):
-    return _weighted(t)
+    return _weighted(t, ws)
 
 
 @query
 def tree_root_edges(t, ws):
-    return mergertree.tree_root_edges(_weighted(t))
+    return mergertree.tree_root_edges(_weighted(t, ws))
 
 
 @query
@@ -400,13 +487,42 @@ def timing_lines(t, ws):
     return fits.timing_lines(t.log_lines())
 
 
+def _digits(fit):
+    """Seven significant digits, however small a coefficient is."""
+    return fit.select(
+        "l_returnflag", *[F.format_string("%.6e", F.col(c)).alias(c) for c in ("a", "b")]
+    )
+
+
 @query
 def fit_inverse(t, ws):
     y = fits.seconds_to_minutes(F.col("l_extendedprice"))
-    return fits.fit_inverse(t.table("lineitem"), "l_quantity", y, ["l_returnflag"])
+    return _digits(fits.fit_inverse(t.table("lineitem"), "l_quantity", y, ["l_returnflag"]))
 
 
 @query
 def fit_quadratic(t, ws):
     y = fits.seconds_to_minutes(F.col("l_extendedprice"))
-    return fits.fit_quadratic(t.table("lineitem"), "l_quantity", y, ["l_returnflag"])
+    return _digits(fits.fit_quadratic(t.table("lineitem"), "l_quantity", y, ["l_returnflag"]))
+
+
+@query
+def fit_quadratic_small_slope(t, ws):
+    y = fits.seconds_to_minutes(F.col("l_extendedprice"))
+    lines = t.table("lineitem").withColumn("n", F.col("l_quantity") * 1000)
+    return _digits(fits.fit_quadratic(lines, "n", y, ["l_returnflag"]))
+
+
+@query
+def fit_result_csv(t, ws):
+    """A result file with padded fields, read and fitted."""
+    path = ws.path("results")
+    fields = ("l_returnflag", "l_quantity", "l_extendedprice")
+    padded = [F.concat(F.lit(" "), F.col(c).cast("string")).alias(c) for c in fields]
+    writer = t.table("lineitem").select(*padded).write.option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).csv(path)
+    kinds = (T.StringType(), T.DoubleType(), T.DoubleType())
+    schema = T.StructType([T.StructField(n, k) for n, k in zip(fields, kinds, strict=True)])
+    read = text.read_delimited(ws.spark, path, schema, header=True, trim=True)
+    y = fits.seconds_to_minutes(F.col("l_extendedprice"))
+    return _digits(fits.fit_inverse(read, "l_quantity", y, ["l_returnflag"]))

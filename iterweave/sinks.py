@@ -2,14 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def store(df: DataFrame, path: str) -> DataFrame:
-    """Overwrite a stored relation and return a scan of it."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _quoted(name: str) -> str:
+    if not re.fullmatch(r"[A-Za-z0-9_]+", name):
+        raise ValueError(f"not a relation name: {name!r}")
+    return f"`{name}`"
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Overwrite the named relation and return a scan of it.
+
+    The rows go into a new table; the name, a view, moves over to it only when the table
+    is complete, and the old one is dropped last.  So a relation may be computed from
+    itself, and a failed write leaves it as it was.  Scans taken before end here.
+    """
+    spark, view = df.sparkSession, _quoted(name)
+    version = f"{name}__v_{uuid.uuid4().hex}"
+    try:
+        df.write.saveAsTable(version)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS `{version}`")
+        raise
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM `{version}`")
+    for table in spark.catalog.listTables(pattern=f"{name}__v_*"):
+        if table.name.lower() != version.lower():
+            spark.sql(f"DROP TABLE IF EXISTS `{table.name}`")
+    return scan(spark, name)
+
+
+def scan(spark: SparkSession, name: str) -> DataFrame:
+    """The relation stored under a name."""
+    return spark.table(_quoted(name))
+
+
+def drop(spark: SparkSession, name: str) -> None:
+    """Remove a named relation and its rows."""
+    spark.sql(f"DROP VIEW IF EXISTS {_quoted(name)}")
+    for table in spark.catalog.listTables(pattern=f"{name}__v_*"):
+        spark.sql(f"DROP TABLE IF EXISTS `{table.name}`")
 
 
 def write_delimited(
@@ -24,13 +60,18 @@ def write_lca_report(answers: DataFrame, path: str) -> None:
     write_delimited(report.orderBy("p1", "p2"), path, header=True)
 
 
-def write_core_edges(edges_by_k: DataFrame, path: str) -> None:
+def write_core_edges(edges_by_k: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
     """One folder of tab-separated edge files per k.
 
-    Rows are spread over tasks by edge, not by k, so the first core, which holds every
-    edge, is written by many tasks."""
+    A core is dealt to as many tasks as it has files to fill: small cores make one file,
+    and the first core, which holds every edge, is still written by many tasks."""
+    sizes = edges_by_k.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    files = F.ceil(F.col("n") / F.lit(rows_per_file)).cast("long")
     (
-        edges_by_k.select("k", "u", "v")
+        edges_by_k.join(sizes, "k")
+        .withColumn("file", F.pmod(F.xxhash64("u", "v"), files))
+        .repartition("k", "file")
+        .select("k", "u", "v")
         .write.mode("overwrite")
         .partitionBy("k")
         .option("sep", "\t")

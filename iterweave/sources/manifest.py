@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from iterweave.sinks import store
 from iterweave.sources.text import read_delimited
 
 # The type names a manifest may use.
@@ -26,6 +27,11 @@ class Manifest:
     uri: str
     delimiter: str
 
+    @property
+    def relation(self) -> str:
+        """The key as one name of the catalog."""
+        return self.name.replace(".", "_")
+
     @staticmethod
     def parse(document: str | dict) -> Manifest:
         doc = json.loads(document) if isinstance(document, str) else document
@@ -50,6 +56,6 @@ class Manifest:
 
 
 def ingest(spark: SparkSession, document: str | dict) -> DataFrame:
-    """Typed read of the relation a manifest describes."""
+    """Store the relation a manifest describes under its key, and scan it."""
     m = Manifest.parse(document)
-    return read_delimited(spark, m.uri, m.schema, delimiter=m.delimiter)
+    return store(read_delimited(spark, m.uri, m.schema, delimiter=m.delimiter), m.relation)

@@ -1,8 +1,5 @@
-"""Row-count thresholds that switch a program between its small and large plans.
-
-All are rows of two or three longs.  Every switch is decided on a counted number, never
-on an estimate, and both plans give the same result.
-"""
+"""Row counts that size the pieces work is cut into.  None of them chooses a plan: every
+program has one plan, and these say how finely it is spread."""
 
 from __future__ import annotations
 
@@ -13,33 +10,10 @@ from dataclasses import dataclass
 class Tuning:
     # A join key above this many rows is cut into slices of about this many rows.
     hot_key_rows: int = 1_000_000
-    # Only the heaviest keys are listed, so that the list always fits a broadcast.  A key
-    # that misses the list holds at most 1/max_hot_keys of all rows.
-    max_hot_keys: int = 10_000
     # A self-join key with more rows than this is cut into blocks of about this many rows.
     pair_block_rows: int = 2_000
-
-    # Edge tables above this size are bucketed once instead of shuffled every round.
-    colocate_rows: int = 50_000_000
+    # Rows per bucket of an edge table, beyond one bucket per shuffle partition.
     bucket_rows: int = 16_000_000
-    max_buckets: int = 50_000
-    # Rebuild an edge table once the live part has shrunk to this share of it.
-    compact_below: float = 0.5
-
-    # Recompute all claims of a core decomposition on networks up to this many edge rows,
-    # and while more than this share of them fell in the round before; otherwise only
-    # those next to a fall.
-    recount_all_edges: int = 1_000_000
-    recount_all_above: float = 0.2
-
-    # Known sets above this size are not shuffled for a round that found little ...
-    large_known_rows: int = 1_000_000
-    # ... which means at most this many rows, a counted number, sent to every executor.
-    broadcast_rows: int = 500_000
-
-    # A round expected to form more candidate pairs than this is narrowed to the seeds
-    # that cover the open pairs.
-    cover_min_candidates: int = 1_000_000
 
 
 DEFAULT = Tuning()

@@ -12,7 +12,6 @@ the write itself: a round is one job, with no second pass to count its output.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -21,19 +20,17 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from iterweave import sinks
 from iterweave.tuning import DEFAULT, Tuning
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by the cluster."""
-    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="iterweave-")
-    raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
+    """The folder all executors can reach, as named by the cluster: that of checkpoints, or
+    else the warehouse."""
+    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir")
+    return named.rstrip("/")
 
 
 @dataclass(frozen=True)
@@ -60,6 +57,7 @@ class Workspace:
         self.tuning = tuning
         self.root = f"{(root or shared_folder(spark)).rstrip('/')}/iterweave-{uuid.uuid4().hex}"
         self._tables: list[str] = []
+        self._relations: list[str] = []
 
     def __enter__(self) -> Workspace:
         return self
@@ -67,9 +65,20 @@ class Workspace:
     def __exit__(self, *exc) -> None:
         self.close()
 
+    @property
+    def partitions(self) -> int:
+        """How many partitions the cluster is set to shuffle into."""
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
 
+    def name(self, name: str) -> str:
+        """A relation name of this run's own; dropped with the workspace."""
+        unique = f"{name}_{uuid.uuid4().hex[:12]}"
+        self._relations.append(unique)
+        return unique
+
     def materialize(
         self,
         df: DataFrame,
@@ -114,6 +123,9 @@ class Workspace:
         for table in self._tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         self._tables.clear()
+        for name in self._relations:
+            sinks.drop(self.spark, name)
+        self._relations.clear()
         self._delete(self.root)
 
     def _write(self, df, path, partition_by, measures) -> dict:

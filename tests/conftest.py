@@ -11,23 +11,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from iterweave.tuning import Tuning  # noqa: E402
 from iterweave.workspace import Workspace  # noqa: E402
 
-# Every threshold so low that tiny inputs take the plans meant for large ones: hot keys
-# are sliced, edges bucketed, known sets scanned, dead edges compacted, pairs covered.
-LARGE = Tuning(
-    hot_key_rows=3,
-    max_hot_keys=5,
-    pair_block_rows=2,
-    colocate_rows=5,
-    bucket_rows=10,
-    compact_below=0.9,
-    recount_all_edges=0,
-    recount_all_above=0.0,
-    large_known_rows=1,
-    broadcast_rows=4,
-    cover_min_candidates=0,
-)
-# The same, with found sets too large to broadcast.
-MERGED = Tuning(large_known_rows=1, broadcast_rows=0, colocate_rows=5, bucket_rows=10)
+# Pieces so small that tiny inputs are cut as large ones are: hot keys sliced, edges in
+# several buckets, pairs in blocks.
+LARGE = Tuning(hot_key_rows=3, pair_block_rows=2, bucket_rows=10)
 
 
 @pytest.fixture(scope="session")
@@ -60,9 +46,9 @@ def large_ws(spark):
         yield workspace
 
 
-@pytest.fixture(params=["default", "large", "merged"])
+@pytest.fixture(params=["default", "large"])
 def any_ws(spark, request):
-    tuning = {"default": Tuning(), "large": LARGE, "merged": MERGED}[request.param]
+    tuning = {"default": Tuning(), "large": LARGE}[request.param]
     with Workspace(spark, tuning=tuning) as workspace:
         yield workspace
 

@@ -3,11 +3,12 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from iterweave.functions.expressions import greater, one_hop_further, pick_max, pick_min
+from iterweave.functions.expressions import greater, in_id_order, one_hop_further
+from iterweave import sinks
 from iterweave.operators import citations as cite
 from iterweave.operators import fits
 from iterweave.operators.adjacency import Adjacency
-from iterweave.operators.skew import hot_keys, pair_join
+from iterweave.operators.skew import SLICE, hot_keys, pair_join, spread
 from iterweave.plans import reach
 from iterweave.workspace import Workspace, shared_folder
 from tests.conftest import LARGE, rows
@@ -17,19 +18,26 @@ LINK = "p1 long, p2 long"
 
 def test_expressions(table):
     df = table([(1, 2, 10, 20), (2, 1, 10, 20), (3, 3, 10, None)], "a long, b long, x long, y long")
-    a, b, x, y = (F.col(c) for c in "abxy")
-    got = df.select(pick_min(a, b, x, y), pick_max(a, b, x, y), greater(x, y), one_hop_further(y))
+    x, y = F.col("x"), F.col("y")
+    sides = [F.struct(F.col(i).alias("id"), F.col(d).alias("d")) for i, d in ("ax", "by")]
+    got = df.withColumn("o", in_id_order(*sides)).select(
+        "o.low.id", "o.low.d", "o.high.id", "o.high.d", greater(x, y), one_hop_further(y)
+    )
     assert [tuple(r) for r in got.collect()] == [
-        (10, 20, 20, 21),
-        (20, 10, 20, 21),
-        (None, None, None, None),
+        (1, 10, 2, 20, 20, 21),
+        (1, 20, 2, 10, 20, 21),
+        (3, None, 3, 10, None, None),
     ]
 
 
-def test_hot_keys_are_bounded_and_sliced(table):
+def test_hot_keys_are_sliced(spark, table):
     df = table([(k, i) for k, n in ((1, 10), (2, 7), (3, 4), (4, 1)) for i in range(n)], LINK)
     assert rows(hot_keys(df, ["p1"], 3)) == [(1, 4), (2, 3), (3, 2)]
-    assert rows(hot_keys(df, ["p1"], 3, max_keys=1)) == [(1, 4)]
+    # However many there are.
+    many = spark.range(36_000).selectExpr("id % 12000 as p1", "id as p2")
+    sliced = spread(many, hot_keys(many, ["p1"], 2), ["p1"], [F.col("p2")])
+    assert hot_keys(many, ["p1"], 2).count() == 12_000
+    assert sliced.groupBy("p1").agg(F.countDistinct(SLICE).alias("n")).filter("n > 1").count() > 8_000
 
 
 @pytest.mark.parametrize("block", [1, 3, 1000])
@@ -38,7 +46,6 @@ def test_pair_join_equals_the_plain_join(table, block):
     left, right = table(data, "k long, a long"), table(data, "k long, b long")
     expected = rows(left.join(right, "k"), "k", "a", "b")
     assert rows(pair_join(left, right, "k", "b", block_rows=block), "k", "a", "b") == expected
-    assert rows(pair_join(left, right, "k", "b", 9, block), "k", "a", "b") == expected
 
 
 def test_large_adjacency_is_not_shuffled_again(spark, table):
@@ -88,7 +95,7 @@ def test_common_ancestors_and_depth(large_ws, table):
     assert rows(common) == [(1, 2, 4, 1994, 2, 1), (1, 2, 5, 1995, 3, 2)]
     assert rows(cite.pair_depth(common)) == [(1, 2, 4, 2), (1, 2, 5, 3)]
     met = cite.oriented_meetings(found.filter("d = 2"), found.filter("d <= 2"))
-    assert rows(met) == [(1, 2, 4, 2, 1)]
+    assert rows(met, "p1", "p2", "ca", "d1", "d2") == [(1, 2, 4, 2, 1)]
     assert rows(reach.reachable_by_depth(found)) == [(1, 2), (2, 2), (3, 1)]
     assert rows(reach.distance_vectors(found)) == [
         (3, 1, "1:1"),
@@ -106,9 +113,21 @@ def test_timing_lines(table):
 def test_fits_recover_the_curve(table):
     data = [(float(x), 600.0 / x + 30.0, 3.0 * x * x + 7.0) for x in (1, 2, 4, 8, 16)]
     df = table(data, "x double, inv double, quad double")
-    assert rows(fits.fit_inverse(df, "x", F.col("inv"))) == [(600.0, 30.0)]
-    assert rows(fits.fit_inverse(df, "x", fits.seconds_to_minutes(F.col("inv")))) == [(10.0, 0.5)]
-    assert rows(fits.fit_quadratic(df, "x", F.col("quad"))) == [(3.0, 7.0)]
+    assert rows(fits.fit_inverse(df, "x", F.col("inv"))) == [pytest.approx((600.0, 30.0))]
+    in_minutes = fits.seconds_to_minutes(F.col("inv"))
+    assert rows(fits.fit_inverse(df, "x", in_minutes)) == [pytest.approx((10.0, 0.5))]
+    assert rows(fits.fit_quadratic(df, "x", F.col("quad"))) == [pytest.approx((3.0, 7.0))]
+
+
+def test_fits_keep_small_slopes_and_skip_zero(table):
+    # Published run times in seconds by number of seeds.
+    times = [(1000, 105.448), (2000, 320.839), (3000, 712.511), (4000, 1258.434),
+             (5000, 1982.123), (6000, 2941.199), (6500, 3383.395), (6800, 3703.529)]
+    df = table([(float(n), t) for n, t in times], "n double, t double")
+    [(slope, _)] = rows(fits.fit_quadratic(df, "n", fits.seconds_to_minutes(F.col("t"))))
+    assert slope == pytest.approx(1.338e-6, rel=1e-3)
+    with_zero = table([(0.0, 5.0), (1.0, 3.0), (2.0, 2.0)], "x double, y double")
+    assert rows(fits.fit_inverse(with_zero, "x", F.col("y"))) == [pytest.approx((2.0, 1.0))]
 
 
 def test_workspace_uses_the_named_folder_and_cleans_up(spark, table):
@@ -119,4 +138,9 @@ def test_workspace_uses_the_named_folder_and_cleans_up(spark, table):
         stored = ws.materialize(table([(1, 2)], LINK), "t", top=F.max("p2"))
         assert (stored.rows, stored.metrics["top"]) == (1, 2)
         assert os.path.isdir(ws.root)
+        relation = ws.name("kept")
+        sinks.store(stored.df, relation)
+        ws.materialize_bucketed(stored.df, "b", 2, ["p1"])
     assert not os.path.exists(ws.root)
+    left = [t.name for t in spark.catalog.listTables()]
+    assert not any(t.startswith((relation, *ws._tables)) for t in left)

@@ -53,13 +53,33 @@ def test_delimited_read_of_a_glob_with_padded_header(spark, tmp_path):
         (tmp_path / name).write_text("N, time\n1000, 105.5\n")
     (tmp_path / "other.csv").write_text("N, time\n1, 1\n")
     schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("s", T.DoubleType())])
-    got = text.read_delimited(spark, f"{tmp_path}/run-*", schema, header=True)
+    got = text.read_delimited(spark, f"{tmp_path}/run-*", schema, header=True, trim=True)
     assert rows(got) == [(1000, 105.5), (1000, 105.5)]
 
 
+def test_lines_that_do_not_fit_are_skipped_and_counted(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("1,2\nx,3\n4\n5,6,7\n8,9.5\n,2\n 9 ,10\n")
+    (tmp_path / "s.csv").write_text("1,  pad  \n")
+    longs = T.StructType([T.StructField(n, T.LongType()) for n in "ab"])
+    got = text.read_delimited(spark, f"{tmp_path}/x.csv", longs)
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, 2), (9, 10), (None, 2)]
+    assert got.count() == 3
+    counted = text.count_rejects(spark, f"{tmp_path}/x.csv", longs)
+    assert rows(counted) == [("accepted", 3), ("field count", 2), ("not a number", 2)]
+    mixed = T.StructType([longs["a"], T.StructField("s", T.StringType())])
+    assert rows(text.read_delimited(spark, f"{tmp_path}/s.csv", mixed)) == [(1, "  pad  ")]
+    assert rows(text.read_delimited(spark, f"{tmp_path}/s.csv", mixed, trim=True)) == [(1, "pad")]
+
+
+def test_text_files_feed_the_line_parsers(spark, tmp_path):
+    for name in ("a.txt", "b.txt"):
+        (tmp_path / name).write_text("1,2\nbad\n")
+    assert rows(text.lenient_parse(text.read_lines(spark, str(tmp_path)))) == [(1, 2), (1, 2)]
+
+
 def document(path, **changes):
     doc = {
-        "relationKey": {"userName": "public", "programName": "adhoc", "relationName": "halo"},
+        "relationKey": {"userName": "lab", "programName": "import", "relationName": "groups"},
         "schema": {
             "columnTypes": ["LONG_TYPE", "DOUBLE_TYPE", "FLOAT_TYPE", "STRING_TYPE"],
             "columnNames": ["grp", "mass", "hi", "kind"],
@@ -71,7 +91,7 @@ def document(path, **changes):
 
 
 def test_manifest_ingest(spark, tmp_path):
-    path = tmp_path / "halo.csv"
+    path = tmp_path / "groups.csv"
     path.write_text("1;2.5;0.5;gas\n2;3.5;1.5;dark\n")
     got = manifest.ingest(spark, json.dumps(document(path)))
     assert [f.dataType.simpleString() for f in got.schema] == [
@@ -81,7 +101,8 @@ def test_manifest_ingest(spark, tmp_path):
         "string",
     ]
     assert rows(got) == [(1, 2.5, 0.5, "gas"), (2, 3.5, 1.5, "dark")]
-    assert manifest.Manifest.parse(document(path)).name == "public.adhoc.halo"
+    assert manifest.Manifest.parse(document(path)).name == "lab.import.groups"
+    assert rows(sinks.scan(spark, "lab_import_groups")) == rows(got)
 
 
 @pytest.mark.parametrize(
@@ -129,10 +150,26 @@ def test_samples(table):
     assert drawn == rows(graph.sample_edges(edges, 0.25))
 
 
-def test_store_overwrites(spark, table, tmp_path):
-    path = str(tmp_path / "t")
-    sinks.store(table([(1, 2)], LINK), path)
-    assert rows(sinks.store(table([(3, 4)], LINK), path)) == [(3, 4)]
+def test_store_overwrites(spark, table):
+    sinks.store(table([(1, 2)], LINK), "rel")
+    assert rows(sinks.store(table([(3, 4)], LINK), "rel")) == [(3, 4)]
+    assert rows(sinks.scan(spark, "rel")) == [(3, 4)]
+    with pytest.raises(ValueError):
+        sinks.store(table([(1, 2)], LINK), "no `good` name")
+
+
+def test_store_over_its_own_source(spark, table):
+    sinks.store(table([(1, 2), (3, 4)], LINK), "own")
+    sinks.store(sinks.scan(spark, "own").filter("p1 > 1"), "own")
+    assert rows(sinks.scan(spark, "own")) == [(3, 4)]
+    # A write that fails leaves the relation as it was.
+    broken = sinks.scan(spark, "own").selectExpr("p1", "raise_error('no') as p2")
+    with pytest.raises(Exception, match="no"):
+        sinks.store(broken, "own")
+    assert rows(sinks.scan(spark, "own")) == [(3, 4)]
+    assert len(spark.catalog.listTables(pattern="own__v_*")) == 1
+    sinks.drop(spark, "own")
+    assert not spark.catalog.listTables(pattern="own*")
 
 
 def test_report_is_in_pair_order(spark, table, tmp_path):
@@ -155,3 +192,6 @@ def test_core_edges_are_one_folder_per_k(table, tmp_path):
     sinks.write_core_edges(table([(1, 5, 6), (2, 7, 8)], "k long, u long, v long"), str(path))
     assert sorted(p.name for p in path.glob("k=*")) == ["k=1", "k=2"]
     assert "".join(p.read_text() for p in path.glob("k=2/part-*")) == "7\t8\n"
+    edges = table([(k, i, i) for k in (1, 2) for i in range(100)], "k long, u long, v long")
+    sinks.write_core_edges(edges.repartition(8), str(path), rows_per_file=30)
+    assert all(2 <= len(list(path.glob(f"k={k}/part-*"))) <= 4 for k in (1, 2))
