@@ -146,7 +146,7 @@ def _brute_revealing(rows, near=8):
             after = [m[0].lower() for m in free if m.start() >= start][:near]
             terms.setdefault(e, set()).update(before + after)
             windows.setdefault(e, set()).add(" ".join(before + after))
-        entity_docs.update(terms)
+        entity_docs.update(list(terms))
         for e, found in terms.items():
             for t in found:
                 both[e, t] += 1
@@ -169,7 +169,7 @@ def _private_rows():
         rows.append(" ".join(filler(20)))
     rows = rows[:8] + rows[8:] * 3
     rows += [" ".join(filler(4) + ["foxglove"] + filler(3)) for _ in range(5)]
-    rows += [" ".join(filler(700))] * 900
+    rows += [" ".join(filler(30))] * 3000
     rows += ["copied uniquely jo2@x.org"] * 9 + ["", None, "1.2.3.4", "Foxglove@x.org foxglove"]
     return list(enumerate(rows))
 

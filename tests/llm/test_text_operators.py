@@ -95,7 +95,7 @@ def test_chunks_move_with_their_text(spark):
 
 def test_every_chunk_has_two_lines(spark):
     table = docs(spark, [(i, "\n".join(_lines(n, i))) for i, n in enumerate([1, 2, 3, 4, 40])])
-    rows = op02_line_dedup.chunked(table).select("text", "_chunks").collect()
+    rows = table.select("text", op02_line_dedup.chunks_of(F.col("text"))).collect()
     for text, chunks in rows:
         assert "\n".join(c.text for c in chunks) == text
         sizes = [c.text.count("\n") + 1 for c in chunks]
