@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,12 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it, also
+    from inside other lambdas.  Unlike ``once`` it adds no operator to the plan."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def words_of(data: bytes | None) -> list[bytes]:
     """The whitespace-separated words of UTF-8 text, A-Z lower-cased: bytes methods treat
     exactly the ASCII letters and the six ASCII whitespace characters."""

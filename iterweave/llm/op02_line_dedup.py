@@ -26,57 +26,72 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iterweave.llm.common import once
+from iterweave.llm.common import let, once
 
 MIN_LINES = 2
 LONG_WORDS = 50  # a line of more words is a chunk by itself
 ROLL, RANGE = 31, 2**31 - 1
 
-_PRIVATE = ("_lines", "_long", "_hash", "_roll", "_ends", "_chunks", "_row", "_id", "_gone")
+_PRIVATE = ("_chunks", "_row", "_id", "_gone")
 
 
 def _spaces(line: Column) -> Column:
     return F.length(line) - F.length(F.translate(line, " ", ""))
 
 
-def chunked(docs: DataFrame) -> DataFrame:
-    """Add ``_chunks``: an array of (text, removable), in order, that join to the text."""
-    line_hash = lambda line: F.conv(
-        F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10
-    ).cast("long")
-    n = F.size("_lines")
-    df = once(docs, "_lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
-    df = once(df, "_long", F.transform("_lines", lambda line: _spaces(line) >= LONG_WORDS))
-    df = once(df, "_hash", F.transform("_lines", line_hash))
-    shifted = F.concat(F.array(F.lit(0).cast("long")), F.slice("_hash", 1, n - 1))
-    df = once(
-        df, "_roll", F.zip_with("_hash", shifted, lambda now, prev: (prev * ROLL + now) % RANGE)
-    )
+def _line_hash(line: Column) -> Column:
+    return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("long")
+
+
+def _rolled(hashes: Column) -> Column:
+    """Of every line and the one before it."""
+    shifted = F.concat(F.array(F.lit(0).cast("long")), F.slice(hashes, F.lit(1), F.size(hashes) - 1))
+    return F.zip_with(hashes, shifted, lambda now, before: (before * ROLL + now) % RANGE)
 
-    def ends_chunk(i: Column) -> Column:  # i: 1-based number of a line that is not the last
-        before, here, after = (F.get("_roll", i - 2), F.get("_roll", i - 1), F.get("_roll", i))
+
+def _ends(roll: Column, long: Column) -> Column:
+    """The numbers (from 1) of the lines after which a chunk ends."""
+    n = F.size(roll)
+
+    def ends_chunk(i: Column) -> Column:
+        before, here, after = (F.get(roll, i - 2), F.get(roll, i - 1), F.get(roll, i))
         lowest = (i >= 2) & (i <= n - 2) & (here < before) & (here <= after)
-        return lowest | F.get("_long", i - 1) | F.get("_long", i)
+        return lowest | F.get(long, i - 1) | F.get(long, i)
 
     inner = F.filter(F.sequence(F.lit(1), n - 1), ends_chunk)
-    df = once(df, "_ends", F.when(n > 1, F.concat(inner, F.array(n))).otherwise(F.array(n)))
+    return F.when(n > 1, F.concat(inner, F.array(n))).otherwise(F.array(n))
+
 
+def _cut(lines: Column, long: Column, ends: Column) -> Column:
     def chunk(end: Column, i: Column) -> Column:
-        first = F.when(i == 0, F.lit(1)).otherwise(F.get("_ends", i - 1) + 1)
-        lines = F.slice("_lines", first, end - first + 1)
-        removable = (end - first + 1 >= MIN_LINES) | F.get("_long", end - 1)
-        return F.struct(F.array_join(lines, "\n").alias("text"), removable.alias("removable"))
+        first = F.when(i == 0, F.lit(1)).otherwise(F.get(ends, i - 1) + 1)
+        text = F.array_join(F.slice(lines, first, end - first + 1), "\n")
+        removable = (end - first + 1 >= MIN_LINES) | F.get(long, end - 1)
+        return F.struct(text.alias("text"), removable.alias("removable"))
 
-    return once(df, "_chunks", F.transform("_ends", chunk)).drop(
-        "_lines", "_long", "_hash", "_roll", "_ends"
-    )
+    return F.transform(ends, chunk)
+
+
+def chunks_of(text: Column) -> Column:
+    """An array of (text, removable), in order, that join to the text."""
+
+    def of_lines(lines: Column) -> Column:
+        def of_marks(long: Column) -> Column:
+            return let(
+                _rolled(F.transform(lines, _line_hash)),
+                lambda roll: let(_ends(roll, long), lambda ends: _cut(lines, long, ends)),
+            )
+
+        return let(F.transform(lines, lambda line: _spaces(line) >= LONG_WORDS), of_marks)
+
+    return let(F.split(F.coalesce(text, F.lit("")), "\n", -1), of_lines)
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """(_id, _row, _gone): for each document that loses chunks, their numbers (from 0)."""
     chunks = (
-        chunked(_keyed(docs).select("_id", "_row", "text"))
-        .select("_id", "_row", F.posexplode("_chunks").alias("no", "chunk"))
+        _keyed(docs)
+        .select("_id", "_row", F.posexplode(chunks_of(F.col("text"))).alias("no", "chunk"))
         .filter("chunk.removable")
         .select("_id", "_row", "no", "chunk.text", F.xxhash64("chunk.text").alias("hash"))
     )
@@ -127,7 +142,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     keep = [c for c in docs.columns if c not in (*_PRIVATE, "n_chunks", "n_removed")]
     docs = docs.select(*keep)
     joined = _keyed(docs).join(repeated_chunks(docs), ["_id", "_row"], "left")
-    df = chunked(joined)
+    df = once(joined, "_chunks", chunks_of(F.col("text")))
     numbers = F.sequence(F.lit(0), F.size("_chunks") - 1)
     left = F.array_except(numbers, F.coalesce("_gone", F.array().cast("array<int>")))
     text = F.array_join(F.transform(left, lambda i: F.get("_chunks", i)["text"]), "\n")
