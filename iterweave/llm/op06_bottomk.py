@@ -9,13 +9,17 @@ of the set (the whole set, if smaller).  Steps:
    probability below 1e-6.  Sets that share ``o`` of their ``m`` values share one among the
    m - o + 1 rarest of either, so only those are listed: values that many documents hold
    are listed only where a document has hardly any other.
-3. First pass: each list links its members with its smallest few.  Candidates must have
-   compatible set sizes, pass the union-sketch estimate, and are verified on full sets.
-   Components of verified links are formed.
+3. First pass: each list compares its members with its centres, the few that share most
+   of their values with others (in a group of edited copies, the least edited).  Candidates
+   must have compatible set sizes, pass the union-sketch estimate, and are measured on full
+   sets.  Components of the links are formed.
 4. Second pass: what is left are pairs within a list that are in different components.
-   Members outside a list's main component meet all members of other components.  After
-   that every pair that shares a listed value has been compared or is already connected,
-   and no link between components is lost, without ever forming all pairs of a group.
+   Members outside a list's main component meet the members of other components, unless
+   what is known of them and the list's centre c rules a link out: x and y share at most
+   what x shares with c, and those of x's other shingles that other members compared with
+   c have besides c's.  A copy with many edits of its own thus meets nobody again.  After
+   that every pair that shares a listed value has been compared, ruled out or is already
+   connected: no link between components is lost, and a group's pairs are never all formed.
 
 Verification joins the pairs with the texts; a pair of rows is compared in Python.
 
@@ -29,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -44,7 +49,7 @@ from iterweave.workspace import Workspace
 SIMILARITY = (80, 100)  # link when 100 * intersection >= 80 * union
 SKETCH = 32  # retained values: k
 OVERLAP = 14  # of k; P(fewer shared | similarity 0.8) < 1e-6
-PIVOTS = 2  # members of a list that all others are compared with in the first pass
+CENTRES = 3  # members of a list that all others are compared with in the first pass
 
 _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -94,8 +99,8 @@ def sketches(docs: DataFrame, k: int = SKETCH) -> DataFrame:
 
 
 def inverted_lists(classes: DataFrame, k: int = SKETCH, overlap: int = OVERLAP) -> DataFrame:
-    """(value, node, size): the rarest values of every sketch, if more than one class
-    holds them."""
+    """(value, node, size, shared): the rarest values of every sketch, if more than one
+    class holds them; ``shared`` counts the sketch's values that others hold."""
     entries = classes.select("node", "size", F.explode("sketch").alias("value"))
     holders = entries.groupBy("value").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
     shared = entries.join(holders, "value")
@@ -109,8 +114,11 @@ def inverted_lists(classes: DataFrame, k: int = SKETCH, overlap: int = OVERLAP)
         .agg(rarest.alias("rarest"))
         .withColumn("length", length.cast("int"))
         .filter("length > 0")
-        .select("node", "size", F.explode(F.slice("rarest", F.lit(1), F.col("length"))).alias("r"))
-        .select("r.value", "node", "size")
+        .withColumn("shared", F.size("rarest"))
+        .select(
+            "node", "size", "shared", F.explode(F.slice("rarest", F.lit(1), F.col("length"))).alias("r")
+        )
+        .select("r.value", "node", "size", "shared")
     )
 
 
@@ -133,22 +141,27 @@ def _likely(pairs: DataFrame, classes: DataFrame, k: int, overlap: int) -> DataF
     return met.filter(F.when(F.size(union) < k, exact).otherwise(common >= overlap)).select("a", "b")
 
 
-def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    part, whole = SIMILARITY
+def _codes(shingles: set) -> list[int]:
+    return [xxhash.xxh3_64_intdigest(b" ".join(x) if isinstance(x, tuple) else x) >> 1 for x in shingles]
+
+
+def measure(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b, common, whole, a_only, b_only): sizes of intersection and union of the pairs'
+    full sets, and hashes of what either has alone."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             last, left = None, set()
-            linked = []
+            found = []
             for one, other in zip(frame["x"], frame["y"], strict=True):
                 if one is not last:
                     last, left = one, two_word_shingles(words_of(one))
                 right = two_word_shingles(words_of(other))
                 common = len(left & right)
-                union = len(left) + len(right) - common
-                linked.append(union > 0 and whole * common >= part * union)
-            yield frame.loc[linked, ["a", "b"]]
+                whole = len(left) + len(right) - common
+                found.append((common, whole, _codes(left - right), _codes(right - left)))
+            made = pd.DataFrame(found, columns=["common", "whole", "a_only", "b_only"])
+            yield pd.concat([frame[["a", "b"]].reset_index(drop=True), made], axis=1)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("data"))
     first, second = texts.alias("first"), texts.alias("second")
@@ -157,28 +170,57 @@ def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         .join(second, F.col("b") == F.col("second.id"))
         .select("a", "b", F.col("first.data").alias("x"), F.col("second.data").alias("y"))
     )
-    return met.mapInPandas(run, "a long, b long")
+    return met.mapInPandas(
+        run, "a long, b long, common long, whole long, a_only array<long>, b_only array<long>"
+    )
 
 
-def first_pass(lists: DataFrame, pivots: int = PIVOTS) -> DataFrame:
-    """Members of each list with its smallest few (a < b, similar sizes)."""
-    rank = F.row_number().over(Window.partitionBy("value").orderBy("node"))
-    smallest = (
-        lists.withColumn("rank", rank)
-        .filter(F.col("rank") <= pivots)  # limited per task before the shuffle
-        .select("value", F.col("node").alias("a"), F.col("size").alias("size_a"))
+def linked(measured: DataFrame) -> DataFrame:
+    part, whole = SIMILARITY
+    return measured.filter(f"whole > 0 and {whole} * common >= {part} * whole").select("a", "b")
+
+
+def centres(lists: DataFrame, count: int = CENTRES) -> DataFrame:
+    """(value, centre, centre_size, rank): the members of a list that share most values."""
+    order = Window.partitionBy("value").orderBy(F.desc("shared"), "node")
+    return (
+        lists.withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= count)  # limited per task before the shuffle
+        .select("value", F.col("node").alias("centre"), F.col("size").alias("centre_size"), "rank")
     )
+
+
+def first_pass(lists: DataFrame, middle: DataFrame) -> DataFrame:
+    """Members of each list with its centres (a < b, similar sizes)."""
     return (
-        lists.join(smallest, "value")
-        .filter(f"a < node and {_similar_size('size', 'size_a')}")
-        .select("a", F.col("node").alias("b"))
+        lists.join(middle, "value")
+        .filter(f"centre <> node and {_similar_size('size', 'centre_size')}")
+        .select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
         .distinct()
     )
 
 
-def second_pass(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components that share a list, but for those within the list's
-    main component, which are connected already."""
+def most_shared(measured: DataFrame, middle: DataFrame) -> DataFrame:
+    """(centre, node, most): what a node can share at most with any other node that was
+    measured against the same centre."""
+    sides = [("a", "b", "b_only"), ("b", "a", "a_only")]
+    both = reduce(
+        DataFrame.union, [measured.select(c, x, "common", only) for c, x, only in sides]
+    ).toDF("centre", "node", "common", "own")
+    both = both.join(middle.select("centre").distinct(), "centre", "left_semi")
+    codes = both.select("centre", "node", F.explode("own").alias("code"))
+    repeated = codes.groupBy("centre", "code").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    others = codes.join(repeated, ["centre", "code"]).groupBy("centre", "node").agg(F.count("n").alias("also"))
+    return both.join(others, ["centre", "node"], "left").select(
+        "centre", "node", (F.col("common") + F.coalesce("also", F.lit(0))).alias("most")
+    )
+
+
+def second_pass(
+    lists: DataFrame, labels: DataFrame, middle: DataFrame, measured: DataFrame
+) -> DataFrame:
+    """Pairs of different components that share a list and may be similar, but for those
+    within the list's main component, which are connected already."""
     labelled = lists.join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
@@ -189,17 +231,35 @@ def second_pass(lists: DataFrame, labels: DataFrame) -> DataFrame:
         .filter("parts > 1")
         .select("value", F.col("most.component").alias("main"))
     )
-    open_lists = labelled.join(main, "value")
+    first = middle.filter("rank = 1").select("value", "centre")
+    open_lists = (
+        labelled.join(main.join(first, "value"), "value")
+        .join(most_shared(measured, first), ["centre", "node"], "left")
+        .select(
+            "value",
+            "node",
+            "size",
+            "component",
+            "main",
+            F.when(F.col("node") == F.col("centre"), F.col("size")).otherwise(F.col("most")).alias("most"),
+        )
+    )
     minor = open_lists.filter("component <> main").select(
         "value",
         F.col("node").alias("a"),
         F.col("size").alias("size_a"),
         F.col("component").alias("component_a"),
+        F.col("most").alias("most_a"),
     )
+    part, whole = SIMILARITY
+    # Similar sets share at least part / (part + whole) of their sizes' sum.
+    possible = F.expr(f"{part + whole} * least(most, most_a) >= {part} * (size + size_a)")
+    known = F.col("most").isNotNull() & F.col("most_a").isNotNull()
     return (
         open_lists.join(minor, "value")
         .filter(f"component <> component_a and {_similar_size('size', 'size_a')}")
         .filter("component = main or a < node")
+        .filter(possible | ~known)
         .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         .distinct()
     )
@@ -209,7 +269,7 @@ def near_duplicates(
     docs: DataFrame,
     k: int = SKETCH,
     overlap: int = OVERLAP,
-    pivots: int = PIVOTS,
+    centre_count: int = CENTRES,
     ws: Workspace | None = None,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
@@ -227,23 +287,24 @@ def near_duplicates(
     classes = ws.materialize(classes, "classes").df
     lists = ws.materialize(inverted_lists(classes, k, overlap), "lists").df
 
-    tried = ws.materialize(_likely(first_pass(lists, pivots), classes, k, overlap), "tried").df
-    links = ws.materialize(verify(tried, docs), "linked").df
-    labels = connected_components(ws, links)
-    rest = second_pass(lists, labels).join(tried, ["a", "b"], "left_anti")
+    middle = ws.materialize(centres(lists, centre_count), "centres").df
+    tried = ws.materialize(_likely(first_pass(lists, middle), classes, k, overlap), "tried").df
+    measured = ws.materialize(measure(tried, docs), "measured").df
+    labels = connected_components(ws, linked(measured))
+    rest = second_pass(lists, labels, middle, measured).join(tried, ["a", "b"], "left_anti")
     rest = ws.materialize(_likely(rest, classes, k, overlap), "rest")
     if rest.rows:
-        more = ws.materialize(verify(rest.df, docs), "linked")
+        more = ws.materialize(linked(measure(rest.df, docs)), "linked")
         if more.rows:
-            labels = connected_components(ws, links.union(more.df))
-    linked = members.join(labels, "node", "left").select(
+            labels = connected_components(ws, linked(measured).union(more.df))
+    named = members.join(labels, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id")
     )
     alone = made.filter("n_shingles = 0 or doc_id is null").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
     )
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    return linked.unionByName(alone).withColumn("kept", kept)
+    return named.unionByName(alone).withColumn("kept", kept)
 
 
 def op6_near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
