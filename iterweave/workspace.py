@@ -43,6 +43,15 @@ class Stored:
     metrics: dict = field(default_factory=dict)
 
 
+_OPEN: list[Workspace] = []
+
+
+def close_all() -> None:
+    """Close every workspace that is still open, once all results are consumed."""
+    for ws in list(_OPEN):
+        ws.close()
+
+
 class Workspace:
     """Owns the scratch tables of one program run.
 
@@ -58,6 +67,7 @@ class Workspace:
         self.root = f"{(root or shared_folder(spark)).rstrip('/')}/iterweave-{uuid.uuid4().hex}"
         self._tables: list[str] = []
         self._relations: list[str] = []
+        _OPEN.append(self)
 
     def __enter__(self) -> Workspace:
         return self
@@ -127,6 +137,8 @@ class Workspace:
             sinks.drop(self.spark, name)
         self._relations.clear()
         self._delete(self.root)
+        if self in _OPEN:
+            _OPEN.remove(self)
 
     def _write(self, df, path, partition_by, measures) -> dict:
         seen = Observation()

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from iterweave.tuning import Tuning  # noqa: E402
-from iterweave.workspace import Workspace  # noqa: E402
+from iterweave.workspace import Workspace, close_all  # noqa: E402
 
 # Pieces so small that tiny inputs are cut as large ones are: hot keys sliced, edges in
 # several buckets, pairs in blocks.
@@ -34,6 +34,12 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def nothing_left_behind():
+    yield
+    close_all()
+
+
 @pytest.fixture
 def ws(spark):
     with Workspace(spark) as workspace:
