@@ -5,7 +5,8 @@ Parquet in the shared folder and reads it again, so a lost executor never costs
 tasks of the current stage.
 
 1. toxicity: documents that the classifier chain rejects go.
-2. line dedup: repeated line chunks are cut out; documents of which nothing is left go.
+2. line dedup: repeated line chunks and repeated passages of more than 50 words are cut out;
+   documents of which nothing is left go.
 3. near-dedup: of each component of near duplicates the smallest id stays.
 4. decontamination: documents over the coverage limit go, spans are cut from the others.
 5. mixing: how many words of each document the mix takes.
@@ -40,9 +41,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = op02_line_dedup.dedup_lines(docs)
-    emptied = (F.col("n_removed") > 0) & (F.trim("text") == "")
-    return cut.filter(~emptied).drop("n_chunks", "n_removed")
+    cut = op02_line_dedup.dedup_lines(docs, passages=True)
+    emptied = (F.col("n_removed") + F.col("n_passage_lines") > 0) & (F.trim("text") == "")
+    return cut.filter(~emptied).drop("n_chunks", "n_removed", "n_passage_lines")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,14 @@ Chunking happens inside the row, without a shuffle.  The chunks are grouped with
 aggregation, so a chunk that a third of all documents hold reaches the reducers once per
 task; what returns to the documents is the numbers of the removed chunks.
 
+Chunks miss a passage of a few short lines that holds no two boundaries of its own.  With
+``passages`` (the pipeline's stage; the query and its SQL are the chunks alone) a second
+step finds those: from every line on, and back from every line, the fewest lines that hold
+more than 50 words are a window.  Any shared run of lines with more than 50 words shares
+the windows inside it, and these cover it.  Windows meet by the SHA-256 of their bytes; the
+lines of all occurrences but the first go, but not of those that overlap the first.
+Windows are taken from the text as it was read, so chunks that go break no passage.
+
 Defined results: a null text stays null, an empty one empty (one empty line); documents
 without an id come first; repeated rows (same id and text) count as one document and all
 keep what it keeps; an empty table gives an empty result; other columns pass through
@@ -26,13 +34,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iterweave.llm.common import let, once
+from iterweave.llm.common import let, once, word_count
+from iterweave.workspace import Workspace
 
 MIN_LINES = 2
 LONG_WORDS = 50  # a line of more words is a chunk by itself
 ROLL, RANGE = 31, 2**31 - 1
 
-_PRIVATE = ("_chunks", "_row", "_id", "_gone")
+_PRIVATE = ("_chunks", "_row", "_id", "_gone", "_lines", "_windows")
 
 
 def _spaces(line: Column) -> Column:
@@ -67,13 +76,19 @@ def _cut(lines: Column, long: Column, ends: Column) -> Column:
         first = F.when(i == 0, F.lit(1)).otherwise(F.get(ends, i - 1) + 1)
         text = F.array_join(F.slice(lines, first, end - first + 1), "\n")
         removable = (end - first + 1 >= MIN_LINES) | F.get(long, end - 1)
-        return F.struct(text.alias("text"), removable.alias("removable"))
+        return F.struct(
+            text.alias("text"),
+            removable.alias("removable"),
+            (first - 1).alias("first"),
+            (end - 1).alias("last"),
+        )
 
     return F.transform(ends, chunk)
 
 
 def chunks_of(text: Column) -> Column:
-    """An array of (text, removable), in order, that join to the text."""
+    """An array of (text, removable, first, last), in order, that join to the text; first and
+    last line count from 0."""
 
     def of_lines(lines: Column) -> Column:
         def of_marks(long: Column) -> Column:
@@ -84,7 +99,74 @@ def chunks_of(text: Column) -> Column:
 
         return let(F.transform(lines, lambda line: _spaces(line) >= LONG_WORDS), of_marks)
 
-    return let(F.split(F.coalesce(text, F.lit("")), "\n", -1), of_lines)
+    return let(_lines_of(text), of_lines)
+
+
+def _lines_of(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+
+
+def windows_of(text: Column) -> Column:
+    """An array of (first, last, key): the shortest runs of lines with more than 50 words
+    that start with a line or end with one; the lines count from 0."""
+
+    def of_lines(lines: Column) -> Column:
+        # The line of every word: a line that n words come before starts at place n.
+        places = F.flatten(
+            F.transform(lines, lambda line, i: F.array_repeat(i, word_count(line).cast("int")))
+        )
+        return let(places, lambda line_of: _windows(lines, line_of))
+
+    def _windows(lines: Column, line_of: Column) -> Column:
+        n = F.size(line_of)
+
+        def place(at: Column) -> Column:
+            return F.get(line_of, at).cast("long")
+
+        def code(first: Column, last: Column) -> Column:  # arrays of longs are made distinct by hashing
+            return F.shiftleft(first, 32) + last
+
+        starts = F.filter(
+            F.sequence(F.lit(0), n - 1 - LONG_WORDS), lambda at: (at == 0) | (place(at - 1) != place(at))
+        )
+        ends = F.filter(
+            F.sequence(F.lit(LONG_WORDS), n - 1), lambda at: (at == n - 1) | (place(at + 1) != place(at))
+        )
+        forth = F.transform(starts, lambda at: code(place(at), place(at + LONG_WORDS)))
+        back = F.transform(ends, lambda at: code(place(at - LONG_WORDS), place(at)))
+
+        def window(at: Column) -> Column:
+            first = F.shiftright(at, 32).cast("int")
+            last = at.bitwiseAND(F.lit(2**32 - 1)).cast("int")
+            held = F.array_join(F.slice(lines, first + 1, last - first + 1), "\n")
+            key = F.unhex(F.sha2(held.cast("binary"), 256))
+            return F.struct(first.alias("first"), last.alias("last"), key.alias("key"))
+
+        found = F.transform(F.array_distinct(F.concat(forth, back)), window)
+        return F.when(n > LONG_WORDS, found).otherwise(
+            F.array().cast("array<struct<first:int,last:int,key:binary>>")
+        )
+
+    return let(_lines_of(text), of_lines)
+
+
+def repeated_windows(docs: DataFrame, ws: Workspace) -> DataFrame:
+    """(_id, _row, _lines): for each document that holds passages seen before, the numbers
+    (from 0) of their lines."""
+    windows = (
+        _keyed(docs)
+        .select("_id", "_row", F.explode(windows_of(F.col("text"))).alias("w"))
+        .select("_id", "_row", "w.first", "w.last", "w.key")
+    )
+    place = F.struct("_id", "_row", "first", "last")
+    groups = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("kept"))
+    repeated = ws.materialize(groups.filter("n > 1").select("key", "kept"), "repeated").df
+    same = (F.col("_id") == F.col("kept._id")) & (F.col("_row") == F.col("kept._row"))
+    found = windows.join(repeated, "key").filter(~same | (F.col("first") > F.col("kept.last")))
+    # A row's windows are bounded by its text.
+    per_row = found.groupBy("_id", "_row").agg(F.collect_set(F.struct("first", "last")).alias("_windows"))
+    lines = F.flatten(F.transform("_windows", lambda w: F.sequence(w["first"], w["last"])))
+    return per_row.select("_id", "_row", F.array_distinct(lines).alias("_lines"))
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
@@ -136,27 +218,58 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, passages: bool = False, ws: Workspace | None = None) -> DataFrame:
     """``docs`` with repeated chunks taken out of ``text``, and ``n_chunks``,
-    ``n_removed``."""
-    keep = [c for c in docs.columns if c not in (*_PRIVATE, "n_chunks", "n_removed")]
+    ``n_removed``; with ``passages`` also what chunks leave of repeated passages, and
+    ``n_passage_lines``."""
+    added = ["n_chunks", "n_removed", *(["n_passage_lines"] if passages else [])]
+    keep = [c for c in docs.columns if c not in (*_PRIVATE, *added)]
     docs = docs.select(*keep)
     joined = _keyed(docs).join(repeated_chunks(docs), ["_id", "_row"], "left")
+    if passages:
+        ws = ws or Workspace(docs.sparkSession)
+        joined = joined.join(repeated_windows(docs, ws), ["_id", "_row"], "left")
     df = once(joined, "_chunks", chunks_of(F.col("text")))
-    numbers = F.sequence(F.lit(0), F.size("_chunks") - 1)
-    left = F.array_except(numbers, F.coalesce("_gone", F.array().cast("array<int>")))
-    text = F.array_join(F.transform(left, lambda i: F.get("_chunks", i)["text"]), "\n")
+    nothing = F.array().cast("array<int>")
+    gone = F.coalesce("_gone", nothing)
+    if passages:
+        lines = F.coalesce("_lines", nothing)
+        of_chunks = F.flatten(
+            F.transform(
+                gone,
+                lambda no: F.sequence(F.get("_chunks", no)["first"], F.get("_chunks", no)["last"]),
+            )
+        )
+        text = let(
+            _lines_of(F.col("text")),
+            lambda all_lines: F.array_join(
+                F.transform(
+                    F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.concat(of_chunks, lines)),
+                    lambda i: F.get(all_lines, i),
+                ),
+                "\n",
+            ),
+        )
+        whole = F.col("_gone").isNull() & F.col("_lines").isNull()
+    else:
+        numbers = F.sequence(F.lit(0), F.size("_chunks") - 1)
+        left = F.array_except(numbers, gone)
+        text = F.array_join(F.transform(left, lambda i: F.get("_chunks", i)["text"]), "\n")
+        whole = F.col("_gone").isNull()
     out = {
         "n_chunks": F.size("_chunks").cast("long"),
         "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
-        "text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(text),
+        "text": F.when(whole, F.col("text")).otherwise(text),
     }
+    if passages:
+        out["n_passage_lines"] = F.size(lines).cast("long")
     df = df.withColumns(out)
     if "n_chars" in keep:
-        df = df.withColumn(
-            "n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        )
-    return df.select(*keep, "n_chunks", "n_removed")
+        changed = F.col("n_removed") > 0
+        if passages:
+            changed = changed | (F.col("n_passage_lines") > 0)
+        df = df.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")))
+    return df.select(*keep, *added)
 
 
 def op2_line_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:

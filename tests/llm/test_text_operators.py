@@ -4,10 +4,12 @@ Whole tables are compared with SQL in test_queries.py."""
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from iterweave.llm import op01_warc, op02_line_dedup, op03_mixing, op04_chat_trees
 from iterweave.workspace import Workspace
 from tests.llm.helpers import docs, words
@@ -128,6 +130,60 @@ def test_repeats_inside_one_document_go(spark):
     assert row.n_removed > 0 and set(row.text.split("\n")) == set(block)
 
 
+def _passage_lines(texts):
+    """By document: the lines (from 0) of runs with more than 50 words that stand before."""
+    seen, gone = {}, {}
+    for doc, text in enumerate(texts):
+        lines = text.split("\n")
+        sizes = [len(line.split()) for line in lines]
+        windows = set()
+        for i in range(len(lines)):
+            for j in range(i, len(lines)):
+                if sum(sizes[i : j + 1]) > 50:
+                    windows |= {(i, j)} if sizes[i] and sizes[j] else set()
+        for i, j in sorted(windows):
+            held = tuple(lines[i : j + 1])
+            first = seen.setdefault(held, (doc, i, j))
+            if first[0] != doc or i > first[2]:
+                gone.setdefault(doc, set()).update(range(i, j + 1))
+    return gone
+
+
+def test_planted_passages_of_short_lines_go(spark):
+    """Passages of 2 to 6 short lines among other lines, in three documents each."""
+    texts, planted = [], []
+    for n in range(2, 7):
+        for turn in range(4):
+            seed = 100 * n + 10 * turn
+            passage = [" ".join(words(60 // n + 1, seed * 77 + i)) for i in range(n)]
+            planted.append(passage)
+            for copy in range(3):
+                around = [_lines(4, seed + 3 * copy + 1), _lines(3, seed + 3 * copy + 2)]
+                texts.append("\n".join(around[0][turn:] + passage + around[1]))
+    table = docs(spark, list(enumerate(texts)))
+    kept = {r.doc_id: r for r in op02_line_dedup.dedup_lines(table, passages=True).collect()}
+    for p, passage in enumerate(planted):
+        assert "\n".join(passage) in kept[3 * p].text
+        for i in (3 * p + 1, 3 * p + 2):
+            assert not set(passage) & set(kept[i].text.split("\n"))
+            assert len(kept[i].text) == kept[i].n_chars
+            own = set(texts[i].split("\n")) - set(passage)
+            assert own == set(kept[i].text.split("\n"))  # clean lines stay
+    stage = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, table, "").collect()}
+    assert stage == {i: r.text for i, r in kept.items()}
+
+
+def test_passages_are_those_of_brute_force(spark):
+    """Short random texts over few lines, so that runs overlap in many ways."""
+    rng = random.Random(5)
+    pool = [" ".join(words(rng.choice([0, 1, 9, 20, 30, 60]), i)) for i in range(7)]
+    texts = ["\n".join(rng.choices(pool, k=rng.randint(1, 9))) for _ in range(60)]
+    texts += ["\n".join([pool[3]] * 12), "\n".join([pool[1], *[pool[2]] * 9])]
+    table = docs(spark, list(enumerate(texts)))
+    windows = op02_line_dedup.repeated_windows(table, Workspace(spark)).collect()
+    assert {r._id: set(r._lines) for r in windows} == _passage_lines(texts)
+
+
 # --- mixing ------------------------------------------------------------------
 
 
