@@ -45,3 +45,10 @@ def words_of(data: bytes | None) -> list[bytes]:
 def two_word_shingles(words: list[bytes]) -> set:
     """Distinct pairs of neighbouring words; a single word is its own only shingle."""
     return set(zip(words, words[1:], strict=False)) if len(words) > 1 else set(words)
+
+
+def shingles(words: list[bytes], width: int) -> set:
+    """Distinct runs of ``width`` words; fewer words are their own only shingle."""
+    if len(words) < width:
+        return {tuple(words)} if words else set()
+    return set(zip(*(words[i:] for i in range(width)), strict=False))

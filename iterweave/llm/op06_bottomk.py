@@ -1,6 +1,6 @@
 """Near-duplicate documents by bottom-k sketches of one hash function.
 
-A document's set holds its distinct two-word shingles; its sketch is the k smallest hashes
+A document's set holds its distinct shingles of ``width`` words (two, if not said); its sketch is the k smallest hashes
 of the set (the whole set, if smaller).  Steps:
 
 1. Documents with the same sequence of words (SHA-256) form a class; one stands for all.
@@ -42,11 +42,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from iterweave.llm.common import two_word_shingles, words_of
+from iterweave.llm.common import shingles, words_of
 from iterweave.llm.components import connected_components
 from iterweave.workspace import Workspace
 
 SIMILARITY = (80, 100)  # link when 100 * intersection >= 80 * union
+WIDTH = 2  # words of a shingle
 SKETCH = 32  # retained values: k
 OVERLAP = 14  # of k; P(fewer shared | similarity 0.8) < 1e-6
 CENTRES = 3  # members of a list that all others are compared with in the first pass
@@ -63,25 +64,34 @@ def _mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(30))) >> np.uint64(1)
 
 
-def sketch(words: list[bytes], k: int = SKETCH) -> tuple[int, np.ndarray]:
+def sketch(words: list[bytes], k: int = SKETCH, width: int = WIDTH) -> tuple[int, np.ndarray]:
     """Size of the shingle set, and its k smallest hashes, ascending."""
     if not words:
         return 0, np.empty(0, np.int64)
     numbers: dict[bytes, int] = {}
     codes = np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64)
     hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in numbers], np.uint64)
-    if len(words) == 1:
-        values = _mixed(hashes, np.zeros(1, np.uint64))
+    if len(words) < width:
+        at, length = np.zeros(1, np.int64), len(words)
     else:
-        pairs = np.unique(codes[:-1] * len(numbers) + codes[1:])
-        values = _mixed(hashes[pairs // len(numbers)], hashes[pairs % len(numbers)])
+        runs, length = codes[: len(words) - width + 1], width
+        for i in range(1, width):
+            if i > 1:
+                runs = np.unique(runs, return_inverse=True)[1]  # small numbers again
+            runs = runs * len(numbers) + codes[i : i + len(runs)]
+        at = np.unique(runs, return_index=True)[1]
+    values = hashes[codes[at]]
+    for i in range(1, length):
+        values = _mixed(values, hashes[codes[at + i]])
+    if length < width or width == 1:
+        values = _mixed(values, np.zeros(1, np.uint64))
     size = len(values)
     if size > k:
         values = np.partition(values, k)[:k]
     return size, np.unique(values).astype(np.int64)
 
 
-def sketches(docs: DataFrame, k: int = SKETCH) -> DataFrame:
+def sketches(docs: DataFrame, k: int = SKETCH, width: int = WIDTH) -> DataFrame:
     """(doc_id, n_shingles, key, sketch) per row; the key is the SHA-256 of the words."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -89,7 +99,7 @@ def sketches(docs: DataFrame, k: int = SKETCH) -> DataFrame:
             out = []
             for doc_id, data in zip(frame["doc_id"], frame["data"], strict=True):
                 words = words_of(data)
-                size, values = sketch(words, k)
+                size, values = sketch(words, k, width)
                 out.append((doc_id, size, hashlib.sha256(b" ".join(words)).digest(), values))
             made = pd.DataFrame(out, columns=["doc_id", "n_shingles", "key", "sketch"])
             yield made.astype({"doc_id": "Int64"})
@@ -141,11 +151,11 @@ def _likely(pairs: DataFrame, classes: DataFrame, k: int, overlap: int) -> DataF
     return met.filter(F.when(F.size(union) < k, exact).otherwise(common >= overlap)).select("a", "b")
 
 
-def _codes(shingles: set) -> list[int]:
-    return [xxhash.xxh3_64_intdigest(b" ".join(x) if isinstance(x, tuple) else x) >> 1 for x in shingles]
+def _codes(found: set) -> list[int]:
+    return [xxhash.xxh3_64_intdigest(b" ".join(x)) >> 1 for x in found]
 
 
-def measure(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def measure(pairs: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(a, b, common, whole, a_only, b_only): sizes of intersection and union of the pairs'
     full sets, and hashes of what either has alone."""
 
@@ -155,8 +165,8 @@ def measure(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             found = []
             for one, other in zip(frame["x"], frame["y"], strict=True):
                 if one is not last:
-                    last, left = one, two_word_shingles(words_of(one))
-                right = two_word_shingles(words_of(other))
+                    last, left = one, shingles(words_of(one), width)
+                right = shingles(words_of(other), width)
                 common = len(left & right)
                 whole = len(left) + len(right) - common
                 found.append((common, whole, _codes(left - right), _codes(right - left)))
@@ -271,10 +281,11 @@ def near_duplicates(
     overlap: int = OVERLAP,
     centre_count: int = CENTRES,
     ws: Workspace | None = None,
+    width: int = WIDTH,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     ws = ws or Workspace(docs.sparkSession)
-    made = ws.materialize(sketches(docs, k), "sketches").df
+    made = ws.materialize(sketches(docs, k, width), "sketches").df
     named = made.filter("n_shingles > 0 and doc_id is not null")
     smallest = named.groupBy("key").agg(F.min("doc_id").alias("node"))
     joined = named.join(smallest, "key")
@@ -289,12 +300,12 @@ def near_duplicates(
 
     middle = ws.materialize(centres(lists, centre_count), "centres").df
     tried = ws.materialize(_likely(first_pass(lists, middle), classes, k, overlap), "tried").df
-    measured = ws.materialize(measure(tried, docs), "measured").df
+    measured = ws.materialize(measure(tried, docs, width), "measured").df
     labels = connected_components(ws, linked(measured))
     rest = second_pass(lists, labels, middle, measured).join(tried, ["a", "b"], "left_anti")
     rest = ws.materialize(_likely(rest, classes, k, overlap), "rest")
     if rest.rows:
-        more = ws.materialize(linked(measure(rest.df, docs)), "linked")
+        more = ws.materialize(linked(measure(rest.df, docs, width)), "linked")
         if more.rows:
             labels = connected_components(ws, linked(measured).union(more.df))
     named = members.join(labels, "node", "left").select(

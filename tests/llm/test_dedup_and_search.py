@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from iterweave.llm import op06_bottomk, op07_decontamination, op09_threshold
-from iterweave.llm.common import two_word_shingles, words_of
+from iterweave.llm.common import shingles, two_word_shingles, words_of
 from iterweave.llm.components import connected_components
 from tests.llm.helpers import components, docs, words
 
@@ -209,3 +209,17 @@ def test_search_stops_early():
     assert scored < 500
     best = np.lexsort((np.arange(5000), -(vectors @ [3, 2, 1, 4])))[:10]
     assert list(ids) == list(best) and list(scores) == list((vectors @ [3, 2, 1, 4])[best])
+
+
+def test_five_word_shingles_keep_what_two_words_link(spark):
+    folder = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    sets = {r.doc_id: shingles(words_of((r.text or "").encode()), 5) for r in table.collect()}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a]
+             and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    got = op06_bottomk.near_duplicates(table, width=5).collect()
+    assert links and {r.doc_id: r.component_id for r in got} == components(links, sets)
+    assert {r.doc_id: r.n_shingles for r in got} == {i: len(s) for i, s in sets.items()}
+    assert sum(r.kept for r in got) > sum(r.kept for r in op06_bottomk.near_duplicates(table).collect())
+    few = [b"a", b"b", b"a"]
+    assert op06_bottomk.sketch(few, width=5)[0] == len(shingles(few, 5)) == 1
