@@ -8,9 +8,14 @@ stands near entity e,
     disclosure(t, e) = log2( p(e | t) / p(e) ),   p(e | t) = documents with e near t / documents with t
 
 A term is removed wherever it occurs (also where the entity is not named) when, for some
-entity, it was seen near it in at least ``MIN_WINDOWS`` different wordings, p(e | t) is at
-least ``MIN_SHARE`` and the disclosure at least ``MIN_BITS``.  Different wordings, because
-copies of one passage are one observation.
+entity, p(e | t) is at least ``MIN_SHARE`` and the disclosure at least ``MIN_BITS``.  What
+counts as seen are different wordings, one for the words around each mention, because copies
+of one passage are one observation.  From ``MIN_WINDOWS`` wordings on, p(e | t) is as above;
+below that it is smoothed,
+
+    p(e | t) = wordings / (wordings + documents with t but not near e + SMOOTHING),
+
+so rare entities are judged too, and a term seen in one wording alone says too little.
 
 Three passes over the texts, none of which moves a text: (1) base spans and the terms near
 them; (2) documents per candidate term, counted per task before the shuffle; (3) where the
@@ -41,7 +46,8 @@ from iterweave.workspace import Workspace
 KINDS = ("email", "ip", "card", "phone")  # also their order at equal starts
 TERM = "term"
 NEAR = 8  # words on either side of an entity
-MIN_WINDOWS = 3
+MIN_WINDOWS = 3  # from here on p(e | t) needs no smoothing
+SMOOTHING = 2
 MIN_SHARE = 0.5
 MIN_BITS = 4.0
 BITMAP_BITS = 20
@@ -121,35 +127,48 @@ def _free_words(text: str, base: list[Span]) -> list[re.Match]:
 
 
 def contexts(text: str, base: list[Span], near: int = NEAR) -> list[dict]:
-    """Per entity of the text: the terms near its mentions and a hash of the wording."""
+    """Per entity of the text: the terms near its mentions, and for each different window the
+    hash of its wording and its terms."""
     words = _free_words(text, base)
     starts = [m.start() for m in words]
-    by_entity: dict[str, tuple[set, list]] = {}
+    by_entity: dict[str, dict[int, set]] = {}
     for kind, start, end in base:
         at = bisect_left(starts, start)
         window = [m[0].lower() for m in words[max(0, at - near) : at + near]]
-        terms, wordings = by_entity.setdefault(entity_of(kind, text[start:end]), (set(), []))
-        terms.update(window)
-        wordings.append(" ".join(window))
+        wording = xxhash.xxh3_64_intdigest(" ".join(window)) >> 1
+        by_entity.setdefault(entity_of(kind, text[start:end]), {})[wording] = set(window)
     return [
-        {"entity": e, "wording": xxhash.xxh3_64_intdigest("\n".join(sorted(set(w)))) >> 1, "terms": sorted(t)}
-        for e, (t, w) in by_entity.items()
+        {
+            "entity": e,
+            "terms": sorted(set().union(*windows.values())),
+            "windows": [{"wording": w, "terms": sorted(t)} for w, t in windows.items()],
+        }
+        for e, windows in by_entity.items()
     ]
 
 
 _SPAN = T.StructType(
     [T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]
 )
+_WINDOW = T.StructType(
+    [T.StructField("wording", T.LongType()), T.StructField("terms", T.ArrayType(T.StringType()))]
+)
 _CONTEXT = T.StructType(
     [
         T.StructField("entity", T.StringType()),
-        T.StructField("wording", T.LongType()),
         T.StructField("terms", T.ArrayType(T.StringType())),
+        T.StructField("windows", T.ArrayType(_WINDOW)),
     ]
 )
 _ARROW_SPANS = pa.list_(pa.struct({"kind": pa.string(), "start": pa.int64(), "end": pa.int64()}))
 _ARROW_CONTEXTS = pa.list_(
-    pa.struct({"entity": pa.string(), "wording": pa.int64(), "terms": pa.list_(pa.string())})
+    pa.struct(
+        {
+            "entity": pa.string(),
+            "terms": pa.list_(pa.string()),
+            "windows": pa.list_(pa.struct({"wording": pa.int64(), "terms": pa.list_(pa.string())})),
+        }
+    )
 )
 
 
@@ -300,13 +319,27 @@ def revealing_terms(
     """(term): terms that give an entity away."""
     near = found.select(F.explode("contexts").alias("c")).select("c.*")
     entities = near.groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
+    # A document counts once per term, a wording once however many documents hold it; the
+    # row without a wording is the document's.
+    of_documents = near.select("entity", F.explode("terms").alias("term")).select(
+        "entity", "term", F.lit(None).cast("long").alias("wording")
+    )
+    of_windows = (
+        near.select("entity", F.explode("windows").alias("w"))
+        .select("entity", F.explode("w.terms").alias("term"), "w.wording")
+    )
+    wordings = F.col("wordings")
     pairs = (
-        near.select("entity", "wording", F.explode("terms").alias("term"))
+        of_documents.union(of_windows)
         .groupBy("entity", "term", "wording")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("entity", "term")
-        .agg(F.sum("n").alias("both"), F.count(F.lit(1)).alias("wordings"))
-        .filter(F.col("wordings") >= min_windows)
+        .agg(
+            F.sum(F.when(F.col("wording").isNull(), F.col("n"))).alias("both"),
+            F.count("wording").alias("wordings"),
+        )
+        # No more than what p(e | t) can be rules a pair out here.
+        .filter((wordings >= min_windows) | (wordings / (wordings + SMOOTHING) >= min_share))
     )
     pairs = ws.materialize(pairs, "pairs")
     if not pairs.rows:
@@ -314,7 +347,10 @@ def revealing_terms(
     total = found.count()
     terms = pairs.df.select("term").distinct()
     held = documents_per_term(docs, bitmap_of(terms))
-    share = F.col("both") / F.col("documents")
+    others = F.col("documents") - F.col("both")
+    share = F.when(wordings >= min_windows, F.col("both") / F.col("documents")).otherwise(
+        wordings / (wordings + others + SMOOTHING)
+    )
     bits = F.log2(share * total / F.col("with_entity"))
     return (
         pairs.df.join(held, "term")

@@ -200,6 +200,29 @@ def test_terms_that_reveal_match_brute_force(spark, ws):
     assert not any("jo@" in (t or "") or "foxglove" in (t or "").lower() for t in clean.values())
 
 
+def test_terms_of_rare_entities_are_judged(spark, ws):
+    """Three wordings in one document count as three, two wordings are judged by smoothing."""
+    rows = [
+        " and ".join(f"mallow {w} ada@x.org {w}{w} calm dull even fair glad huge idle just" for w in ("one", "two", "six")),
+        "here yarrow wrote bob@x.org again",
+        "there yarrow sent bob@x.org today",
+        *["only tansy met cy@x.org"] * 5,
+        "once sorrel saw dee@x.org now",
+        "then sorrel saw dee@x.org soon",
+        *["sorrel grows"] * 3,
+        *["filler text"] * 300,
+    ]
+    table = docs(spark, list(enumerate(rows)))
+    [context] = op08_sanitise.contexts(rows[0], op08_sanitise.base_spans(rows[0]))
+    assert len(context["windows"]) == 3
+    found = op08_sanitise.found_entities(table)
+    got = {r.term for r in op08_sanitise.revealing_terms(table, found, ws).collect()}
+    assert {"mallow", "yarrow"} <= got
+    assert not {"tansy", "sorrel", "filler"} & got  # copies of one wording; mostly elsewhere
+    by_id = {r.doc_id: r for r in op08_sanitise.op8_sanitise(spark, table).collect()}
+    assert by_id[1].spans == "term:5:11,email:18:27"
+
+
 def test_sanitise_edge_cases(spark):
     rows = [(None, "a@b.c"), (1, "a@b.c"), (1, "a@b.c"), (1, "other"), (2, None)]
     got = op08_sanitise.sanitise(docs(spark, rows)).collect()
