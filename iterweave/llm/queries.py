@@ -17,6 +17,9 @@ from iterweave.llm import (
     op08_sanitise,
     op09_threshold,
     op10_ppm_language,
+    op11_repair,
+    op12_merkle,
+    op13_imatch,
 )
 from iterweave.llm.common import table
 
@@ -84,3 +87,18 @@ def op9_exact_top_k(spark, sf_dir):
 @query()
 def op10_language_id(spark, sf_dir):
     return op10_ppm_language.op10_language_id(spark, table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_repair_conversations(spark, sf_dir):
+    return op11_repair.op11_repair_conversations(spark, table(spark, sf_dir, "conversations"))
+
+
+@query(op12_merkle.SQL)
+def op12_merkle_manifest(spark, sf_dir):
+    return op12_merkle.op12_merkle_manifest(spark, table(spark, sf_dir, "documents"))
+
+
+@query(op13_imatch.SQL)
+def op13_fingerprints(spark, sf_dir):
+    return op13_imatch.op13_fingerprints(spark, table(spark, sf_dir, "documents"))
