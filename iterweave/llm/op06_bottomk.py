@@ -6,20 +6,24 @@ of the set (the whole set, if smaller).  Steps:
 1. Documents with the same sequence of words (SHA-256) form a class; one stands for all.
 2. Inverted lists: every retained value lists the classes that hold it.  Two sets with a
    similarity of 0.8 share about 0.8 k retained values, and fewer than ``OVERLAP`` with a
-   probability below 1e-6.  Sets that share ``o`` of their ``m`` values share one among the
-   m - o + 1 rarest of either, so only those are listed: values that many documents hold
-   are listed only where a document has hardly any other.
+   probability of about 1.2e-6 (binomial; the only way to lose a link).  Sets that share
+   ``o`` of their ``m`` values share one among the m - o + 1 rarest of either, so only those
+   are listed: values that many documents hold are listed only where a document has hardly
+   any other.
 3. First pass: each list compares its members with its centres, the few that share most
    of their values with others (in a group of edited copies, the least edited).  Candidates
    must have compatible set sizes, pass the union-sketch estimate, and are measured on full
    sets.  Components of the links are formed.
-4. Second pass: what is left are pairs within a list that are in different components.
-   Members outside a list's main component meet the members of other components, unless
-   what is known of them and the list's centre c rules a link out: x and y share at most
-   what x shares with c, and those of x's other shingles that other members compared with
-   c have besides c's.  A copy with many edits of its own thus meets nobody again.  After
-   that every pair that shares a listed value has been compared, ruled out or is already
-   connected: no link between components is lost, and a group's pairs are never all formed.
+4. Second pass: pairs of a list that are in different components.  For members that were
+   measured against the list's first centre all is known by their *edits*, the shingles in
+   which they differ from it: two sets differ where exactly one of them has an edit.  Edits
+   of most members are the centre's own, so the sets are taken relative to the centre without
+   them.  Sets with few edits are similar for sure, and one link to the least edited settles
+   each; any other similar pair shares a known number of edits, so it shares one among the
+   rarest of either (a prefix filter), by which the remaining pairs are found.  Members that
+   are too far from the centre to be measured meet the list's others directly, each pair in
+   the list of its smallest common value.  No link between components is lost, and a group's
+   pairs are never all formed.
 
 Verification joins the pairs with the texts; a pair of rows is compared in Python.
 
@@ -38,7 +42,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -49,7 +53,8 @@ from iterweave.workspace import Workspace
 SIMILARITY = (80, 100)  # link when 100 * intersection >= 80 * union
 WIDTH = 2  # words of a shingle
 SKETCH = 32  # retained values: k
-OVERLAP = 14  # of k; P(fewer shared | similarity 0.8) < 1e-6
+OVERLAP = 14  # of k; P(fewer shared | similarity 0.8) is 1.2e-6
+AROUND = 8  # of k: members of a list that share so many with its first centre are measured
 CENTRES = 3  # members of a list that all others are compared with in the first pass
 
 _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -137,18 +142,16 @@ def _similar_size(a: str, b: str) -> str:
     return f"{whole} * least({a}, {b}) >= {part} * greatest({a}, {b})"
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, k: int, overlap: int) -> DataFrame:
-    """Pairs whose union sketch (the k smallest of both) has enough values of both."""
+def _likely(pairs: DataFrame, classes: DataFrame, k: int, overlap: Column) -> DataFrame:
+    """Pairs whose union sketch (the k smallest of both) has enough values of both: that
+    many of k, or of a smaller union, which is whole, the same share."""
     of = classes.select("node", "sketch")
     met = pairs.join(of.withColumnsRenamed({"node": "a", "sketch": "sa"}), "a").join(
         of.withColumnsRenamed({"node": "b", "sketch": "sb"}), "b"
     )
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     common = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
-    part, whole = SIMILARITY
-    # A union of up to k values is whole, and the estimate exact.
-    exact = common * whole >= F.size(union) * part
-    return met.filter(F.when(F.size(union) < k, exact).otherwise(common >= overlap)).select("a", "b")
+    return met.filter(common * k >= overlap * F.size(union)).select("a", "b")
 
 
 def _codes(found: set) -> list[int]:
@@ -201,36 +204,139 @@ def centres(lists: DataFrame, count: int = CENTRES) -> DataFrame:
 
 
 def first_pass(lists: DataFrame, middle: DataFrame) -> DataFrame:
-    """Members of each list with its centres (a < b, similar sizes)."""
+    """Members of each list with its centres (a < b, similar sizes), and the best rank."""
     return (
         lists.join(middle, "value")
         .filter(f"centre <> node and {_similar_size('size', 'centre_size')}")
-        .select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
-        .distinct()
+        .groupBy(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
+        .agg(F.min("rank").alias("rank"))
     )
 
 
-def most_shared(measured: DataFrame, middle: DataFrame) -> DataFrame:
-    """(centre, node, most): what a node can share at most with any other node that was
-    measured against the same centre."""
+def edited_groups(measured: DataFrame, middle: DataFrame, labels: DataFrame) -> DataFrame:
+    """(centre, node, size, component, edits): what was measured against first centres, and
+    those themselves, for groups with pairs between components that were not measured.
+
+    Repeated ids have several sets; they are left out, as not measured."""
+    first = middle.filter("rank = 1").select("centre", F.col("centre_size")).distinct()
     sides = [("a", "b", "b_only"), ("b", "a", "a_only")]
     both = reduce(
-        DataFrame.union, [measured.select(c, x, "common", only) for c, x, only in sides]
-    ).toDF("centre", "node", "common", "own")
-    both = both.join(middle.select("centre").distinct(), "centre", "left_semi")
-    codes = both.select("centre", "node", F.explode("own").alias("code"))
-    repeated = codes.groupBy("centre", "code").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    others = codes.join(repeated, ["centre", "code"]).groupBy("centre", "node").agg(F.count("n").alias("also"))
-    return both.join(others, ["centre", "node"], "left").select(
-        "centre", "node", (F.col("common") + F.coalesce("also", F.lit(0))).alias("most")
+        DataFrame.union,
+        [
+            measured.select(
+                F.col(c).alias("centre"),
+                F.col(x).alias("node"),
+                (F.col("common") + F.size(own)).alias("size"),
+                F.concat("a_only", "b_only").alias("edits"),
+            )
+            for c, x, own in sides
+        ],
+    ).join(first.select("centre").distinct(), "centre", "left_semi")
+    itself = first.select(
+        "centre", F.col("centre").alias("node"), F.col("centre_size").alias("size"), F.array().cast("array<bigint>").alias("edits")
+    )
+    rows = both.union(itself).join(labels, "node", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "node"))
+    alone = rows.groupBy("centre", "node").agg(F.count(F.lit(1)).alias("n")).filter("n = 1")
+    rows = rows.join(alone.select("centre", "node"), ["centre", "node"], "left_semi")
+    parts = rows.groupBy("centre").agg(
+        F.count(F.lit(1)).alias("members"),
+        (F.min("component") < F.max("component")).alias("several"),
+    )
+    return rows.join(parts.filter("several and members > 2").drop("several"), "centre")
+
+
+def recentred(groups: DataFrame) -> DataFrame:
+    """``groups`` with their edits relative to what most members have, rarest first."""
+    codes = groups.select("centre", "node", "members", F.explode("edits").alias("code"))
+    counts = codes.groupBy("centre", "code").agg(
+        F.count(F.lit(1)).alias("holders"), F.first("members").alias("members")
+    )
+    usual = counts.filter("2 * holders > members")  # at most twice the mean number of edits
+    own = codes.drop("members").join(counts.filter("2 * holders <= members"), ["centre", "code"])
+    lacking = (
+        groups.select("centre", "node")
+        .join(usual, "centre")
+        .withColumn("holders", F.col("members") - F.col("holders"))
+        .join(codes.select("centre", "node", "code"), ["centre", "node", "code"], "left_anti")
+    )
+    columns = ["centre", "node", "holders", "code"]
+    edits = (
+        own.select(columns)
+        .union(lacking.select(columns))
+        .groupBy("centre", "node")  # at most the shingles of two documents
+        .agg(F.sort_array(F.collect_list(F.struct("holders", "code"))).alias("rarest"))
+        .select("centre", "node", F.col("rarest.code").alias("edits"))
+    )
+    none = F.array().cast("array<bigint>")
+    return (
+        groups.drop("edits", "members")
+        .join(edits, ["centre", "node"], "left")
+        .withColumn("edits", F.coalesce("edits", none))
     )
 
 
-def second_pass(
-    lists: DataFrame, labels: DataFrame, middle: DataFrame, measured: DataFrame
+# Sets x and y that differ in D shingles are similar if BOTH * D <= APART * (|x| + |y|).
+APART, BOTH = SIMILARITY[1] - SIMILARITY[0], SIMILARITY[1] + SIMILARITY[0]
+
+
+def scored(groups: DataFrame) -> DataFrame:
+    """Add ``score``, the least one of the group and its node: two sets are similar for sure
+    if their scores' sum is not above 0, and otherwise only if they share at least that sum
+    / (2 * BOTH) of their edits."""
+    score = (BOTH * F.size("edits") - APART * F.col("size")).alias("score")
+    groups = groups.select("*", score)
+    best = groups.groupBy("centre").agg(F.min(F.struct("score", "node", "component")).alias("best"))
+    return groups.join(best, "centre").select(
+        *groups.columns,
+        F.col("best.score").alias("least"),
+        F.col("best.node").alias("nearest"),
+        ((F.col("score") + F.col("best.score") <= 0) | (F.col("component") == F.col("best.component"))).alias("settled"),
+    )
+
+
+def sure_links(groups: DataFrame) -> DataFrame:
+    """(a, b): the least edited set of a group with all that are similar to it for sure."""
+    near = groups.filter("node <> nearest and score + least <= 0")
+    return near.select(
+        F.least("node", "nearest").alias("a"), F.greatest("node", "nearest").alias("b")
+    ).distinct()
+
+
+def pairs_by_edits(groups: DataFrame) -> DataFrame:
+    """(a, b) of different components that may share enough edits: a set that is not settled
+    with any other.  They share one among the first edits of either."""
+
+    def listed(rows: DataFrame, lowest: str, end: str) -> DataFrame:
+        needed = f"greatest(1, cast(ceil(({lowest}) / {2.0 * BOTH}) as int))"
+        kept = F.slice("edits", F.lit(1), F.expr(f"greatest(0, size(edits) - {needed} + 1)"))
+        names = ("node", "size", "component", "score", "settled")
+        return rows.withColumn("n_edits", F.size("edits")).select(
+            "centre",
+            *[F.col(c).alias(f"{c}_{end}") for c in (*names, "n_edits")],
+            F.posexplode(kept).alias(f"at_{end}", "code"),
+        )
+
+    # The partner of a settled set is not settled: its score is above -least.
+    open_ = listed(groups.filter("not settled"), "score + least", "x")
+    every = listed(groups, "if(settled, score - least, score + least)", "y")
+    need = f"greatest(1, cast(ceil((score_x + score_y) / {2.0 * BOTH}) as int))"
+    return (
+        open_.join(every, ["centre", "code"])
+        .filter(f"at_x <= n_edits_x - {need} and at_y <= n_edits_y - {need}")
+        .filter(f"component_x <> component_y and {_similar_size('size_x', 'size_y')}")
+        .filter("settled_y or node_x < node_y")
+        .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+        .distinct()
+    )
+
+
+def pairs_by_lists(
+    lists: DataFrame, labels: DataFrame, middle: DataFrame, groups: DataFrame
 ) -> DataFrame:
-    """Pairs of different components that share a list and may be similar, but for those
-    within the list's main component, which are connected already."""
+    """(a, b) of different components that share a list of which at least one was not measured
+    against the first centre, but for those within the list's main component, which are
+    connected already."""
     labelled = lists.join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
@@ -241,36 +347,25 @@ def second_pass(
         .filter("parts > 1")
         .select("value", F.col("most.component").alias("main"))
     )
-    first = middle.filter("rank = 1").select("value", "centre")
+    first = middle.filter("rank = 1").select("value", "centre").distinct()
+    known = groups.select("centre", "node", F.lit(True).alias("known"))
+    values = lists.groupBy("node", "size").agg(F.collect_set("value").alias("values"))  # up to k
     open_lists = (
         labelled.join(main.join(first, "value"), "value")
-        .join(most_shared(measured, first), ["centre", "node"], "left")
-        .select(
-            "value",
-            "node",
-            "size",
-            "component",
-            "main",
-            F.when(F.col("node") == F.col("centre"), F.col("size")).otherwise(F.col("most")).alias("most"),
-        )
+        .join(known, ["centre", "node"], "left")
+        .join(values, ["node", "size"])
+        .select("value", "node", "size", "component", "main", "known", "values")
     )
     minor = open_lists.filter("component <> main").select(
-        "value",
-        F.col("node").alias("a"),
-        F.col("size").alias("size_a"),
-        F.col("component").alias("component_a"),
-        F.col("most").alias("most_a"),
+        "value", *[F.col(c).alias(f"{c}_a") for c in ("node", "size", "component", "known", "values")]
     )
-    part, whole = SIMILARITY
-    # Similar sets share at least part / (part + whole) of their sizes' sum.
-    possible = F.expr(f"{part + whole} * least(most, most_a) >= {part} * (size + size_a)")
-    known = F.col("most").isNotNull() & F.col("most_a").isNotNull()
     return (
         open_lists.join(minor, "value")
+        .filter("known is null or known_a is null")
         .filter(f"component <> component_a and {_similar_size('size', 'size_a')}")
-        .filter("component = main or a < node")
-        .filter(possible | ~known)
-        .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+        .filter("component = main or node_a < node")
+        .filter("value = array_min(array_intersect(values, values_a))")
+        .select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b"))
         .distinct()
     )
 
@@ -299,15 +394,20 @@ def near_duplicates(
     lists = ws.materialize(inverted_lists(classes, k, overlap), "lists").df
 
     middle = ws.materialize(centres(lists, centre_count), "centres").df
-    tried = ws.materialize(_likely(first_pass(lists, middle), classes, k, overlap), "tried").df
+    ranked = first_pass(lists, middle)
+    wanted = F.when(F.col("rank") == 1, min(AROUND, overlap)).otherwise(overlap)
+    tried = ws.materialize(_likely(ranked, classes, k, wanted), "tried").df
     measured = ws.materialize(measure(tried, docs, width), "measured").df
     labels = connected_components(ws, linked(measured))
-    rest = second_pass(lists, labels, middle, measured).join(tried, ["a", "b"], "left_anti")
-    rest = ws.materialize(_likely(rest, classes, k, overlap), "rest")
-    if rest.rows:
-        more = ws.materialize(linked(measure(rest.df, docs, width)), "linked")
-        if more.rows:
-            labels = connected_components(ws, linked(measured).union(more.df))
+    groups = ws.materialize(edited_groups(measured, middle, labels), "groups").df
+    edits = ws.materialize(scored(recentred(groups)), "edits").df
+    rest = pairs_by_edits(edits).union(pairs_by_lists(lists, labels, middle, groups)).distinct()
+    rest = rest.join(tried, ["a", "b"], "left_anti")
+    rest = ws.materialize(_likely(rest, classes, k, F.lit(overlap)), "rest").df
+    more = linked(measure(rest, docs, width)).union(sure_links(edits))
+    more = ws.materialize(more, "linked")
+    if more.rows:
+        labels = connected_components(ws, linked(measured).union(more.df))
     named = members.join(labels, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id")
     )
