@@ -7,7 +7,8 @@ tasks of the current stage.
 1. toxicity: documents that the classifier chain rejects go.
 2. line dedup: repeated line chunks and repeated passages of more than 50 words are cut out;
    documents of which nothing is left go.
-3. near-dedup: of each component of near duplicates the smallest id stays.
+3. near-dedup: of each component of near duplicates (shingles of five words, a similarity of
+   0.8 or more) the smallest id stays.
 4. decontamination: documents over the coverage limit go, spans are cut from the others.
 5. mixing: how many words of each document the mix takes.
 
@@ -31,6 +32,9 @@ from iterweave.llm.common import table
 from iterweave.workspace import Workspace
 
 
+SHINGLE = 5  # words
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     chain = op05_toxicity.train(docs, labels, op05_toxicity.categories_of(), Workspace(spark))
@@ -47,7 +51,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    near = op06_bottomk.near_duplicates(docs)
+    near = op06_bottomk.near_duplicates(docs, width=SHINGLE)
     gone = near.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter("not kept")
     return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
 
