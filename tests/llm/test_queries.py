@@ -9,7 +9,7 @@ import pytest
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from iterweave.llm import op05_toxicity, op07_decontamination, op08_sanitise
-from iterweave.llm.common import two_word_shingles, words_of
+from iterweave.llm.common import shingles, two_word_shingles, words_of
 from iterweave.llm.queries import ORACLES, QUERIES
 from tests.llm.helpers import components
 
@@ -78,7 +78,7 @@ def test_pipeline(spark, ws):
             assert docs.columns == columns
             kept[name] = {r.doc_id: r.text for r in docs.collect()}
         if name == "near_dedup":
-            sets = {i: two_word_shingles(words_of(t.encode())) for i, t in before.items()}
+            sets = {i: shingles(words_of(t.encode()), 5) for i, t in before.items()}
             links = [(a, b) for a in sets for b in sets if a < b and sets[a]
                      and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
             assert kept[name] == {i: before[i] for i, c in components(links, sets).items() if i == c}
