@@ -59,6 +59,25 @@ class Inputs:
             F.col("l_partkey").alias("p1"), F.col("l_orderkey").alias("p2")
         )
 
+    def order_citations(self) -> DataFrame:
+        """A part cites the orders it is in; their ids follow the parts', so none is a paper."""
+        last = self.table("part").agg(F.max("p_partkey")).scalar()
+        return self.part_orders().withColumn("p2", F.col("p2") + last)
+
+    def weighted_citations(self) -> DataFrame:
+        """Citations with the least quantity of a citing line as their weight."""
+        lines = self.table("lineitem").select(
+            F.col("l_orderkey").alias("o"),
+            F.col("l_linenumber").alias("n"),
+            "l_partkey",
+            F.col("l_quantity").cast("long").alias("weight"),
+        )
+        cited = lines.select("o", (F.col("n") - 1).alias("n"), F.col("l_partkey").alias("dst"))
+        linked = lines.join(cited, ["o", "n"]).groupBy(F.col("l_partkey").alias("src"), "dst")
+        weights = linked.agg(F.min("weight").alias("weight"))
+        known = self.citations().toDF("src", "dst")
+        return weights.join(known, ["src", "dst"])
+
     def poi(self) -> DataFrame:
         last = F.max(F.struct("o_orderdate", "o_orderkey", "o_orderpriority")).alias("last")
         yearly = (

@@ -21,7 +21,7 @@ class Adjacency:
     edges: DataFrame
     source: str
     rows: int
-    hot: DataFrame
+    hot: Stored
     ws: Workspace
     tables: tuple[Stored, ...]
 
@@ -35,12 +35,15 @@ class Adjacency:
         buckets = max(ws.partitions, -(-staged.rows // limits.bucket_rows))
         final = ws.materialize_bucketed(table, "adjacency", buckets, [source, SLICE])
         ws.discard(staged)
-        return Adjacency(final.df, source, staged.rows, hot.df, ws, (final, hot))
+        return Adjacency(final.df, source, staged.rows, hot, ws, (final, hot))
 
     def out_of(self, frontier: DataFrame, vertex: str) -> DataFrame:
         """Every edge leaving a frontier vertex, with the frontier's other columns."""
         keyed = frontier.withColumnRenamed(vertex, self.source)
-        sliced = replicate(keyed, self.hot, [self.source])
+        if self.hot.rows:
+            sliced = replicate(keyed, self.hot.df, [self.source])
+        else:  # the same plan without the join of an empty side
+            sliced = keyed.withColumn(SLICE, F.lit(0).cast("long"))
         return sliced.join(self.edges, [self.source, SLICE]).drop(SLICE)
 
     def discard(self) -> None:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from iterweave.plans.reach import VECTOR_BLOCK
 from iterweave.registry import FIRST_SEEDS, SAMPLE_RATE
 
 # Thresholds that follow the data, as in the registry.
@@ -83,17 +84,20 @@ VIEWS = {
   from lineitem l
   join (select l_orderkey as o, l_linenumber as n, l_partkey as p2 from lineitem) x
     on x.o = l.l_orderkey and x.n = l.l_linenumber + 1)""",
-    # Only parts with an even key have a paper row; the others are implicit.
-    "papers_known": """papers_known as (select * from papers where id % 2 = 0)""",
+    # Orders are cited too, and have no paper rows.
+    "citations_orders": """citations_orders as materialized (
+  select p1, p2 from citations_raw
+  union
+  select l_partkey, l_orderkey + (select max(p_partkey) from part) from lineitem)""",
     "papers_implicit": """papers_implicit as materialized (
-  select id, year from papers_known
+  select id, year from papers
   union all
-  select distinct id, cast(0 as bigint) from (select p1 as id from citations_raw
-                                              union select p2 from citations_raw)
-  where id not in (select id from papers_known))""",
+  select distinct id, cast(0 as bigint) from (select p1 as id from citations_orders
+                                              union select p2 from citations_orders)
+  where id not in (select id from papers))""",
     "citations_implicit": """citations_implicit as materialized (
   select distinct c.p1, c.p2
-  from citations_raw c join papers_implicit p on p.id = c.p1 join papers_implicit q on q.id = c.p2
+  from citations_orders c join papers_implicit p on p.id = c.p1 join papers_implicit q on q.id = c.p2
   where p.year >= q.year and c.p1 <> c.p2)""",
     "citations_any": """citations_any as materialized (
   select distinct c.p1, c.p2
@@ -152,6 +156,23 @@ VIEWS = {
          || cast(l_linenumber as varchar) || 'm'
          || cast(cast(l_quantity as integer) as varchar) || 's' as line
   from lineitem)""",
+    "weighted_links": """weighted_links as materialized (
+  select c.p1, c.p2, w.weight
+  from citations c join (
+    select l.l_partkey as p1, x.l_partkey as p2, cast(min(l.l_quantity) as bigint) as weight
+    from lineitem l join lineitem x
+      on x.l_orderkey = l.l_orderkey and x.l_linenumber = l.l_linenumber + 1
+    group by all) w using (p1, p2))""",
+    # Cost and hops in one number: the least of it has the least cost, then the fewest hops.
+    "costs": """costs(seed, vertex, price) using key (seed, vertex) as (
+  select s.id, c.p2, cast(min(c.weight * 1000000 + 1) as bigint)
+  from seeds s join weighted_links c on c.p1 = s.id group by all
+  union
+  select n.seed, n.vertex, n.price
+  from (select r.seed, c.p2 as vertex, cast(min(r.price + c.weight * 1000000 + 1) as bigint) as price
+        from costs r join weighted_links c on c.p1 = r.vertex group by all) n
+  left join recurring.costs o on o.seed = n.seed and o.vertex = n.vertex
+  where o.price is null or n.price < o.price)""",
     "reach": _reach("reach", "citations", _hops("citations")),
     "reach_any": _reach("reach_any", "citations_any", _hops("citations_any")),
     "reach_self": _reach(
@@ -170,6 +191,11 @@ EDGE_CORES = """select n.u, n.v, least(a.c, b.c) as c from network n
 join core a on a.v = n.u join core b on b.v = n.v where n.u < n.v"""
 FOLLOW_CORES = """select f.u, f.v, least(a.c, b.c) as c from follows f
 join core_in_out a on a.v = f.u join core_in_out b on b.v = f.v"""
+CORE_SIZES = f"""select k, vertices, coalesce(edges, 0) as edges
+from (select k, count(*) as vertices
+      from (select unnest(range(1, c + 1)) as k from core) group by k)
+left join (select k, count(*) as edges
+           from (select unnest(range(1, c + 1)) as k from ({EDGE_CORES})) group by k) using (k)"""
 TWO_HOPS = """select distinct s.id as seed, b.p2 as vertex
 from seeds s join citations a on a.p1 = s.id join citations b on b.p1 = a.p2"""
 NEIGHBORS = """select s.id as seed, c.p2 as vertex, cast(1 as bigint) as d
@@ -239,13 +265,23 @@ group by seed, vertex""",
     "reachable_pairs": "select seed, vertex from reach",
     "min_hops": "select seed, vertex, d from reach",
     "reachable_by_depth": "select d, count(*) as pairs from reach group by d",
-    "distance_vectors": """select vertex, count(*) as seeds,
-  string_agg(seed || ':' || d, ',' order by seed) as depths
-from reach_self group by vertex""",
+    "distance_vectors": f"""select vertex, block, count(*) as seeds,
+  string_agg(slot || ':' || d, ',' order by slot) as depths
+from (select r.vertex, r.d, n.number // {VECTOR_BLOCK} as block, n.number % {VECTOR_BLOCK} as slot
+      from reach_self r
+      join (select id, row_number() over (order by id) - 1 as number from seeds) n on n.id = r.seed)
+group by vertex, block""",
+    "cheapest_paths": """select seed, vertex, price // 1000000 as cost, price % 1000000 as hops
+from costs""",
     "lca": _lca("reach"),
     "lca_newest_year": _lca("reach", "year desc"),
     "lca_include_self": _lca("reach_self"),
     "lca_no_temporal_filter": _lca("reach_any"),
+    "lca_program": _lca("reach"),
+    "lca_least_sum": f"""select p1, p2, ca, d1 + d2 as total, year, d1, d2
+from (select *, row_number() over (partition by p1, p2 order by d1 + d2, year, ca) as pick
+      from ({_common('reach')}))
+where pick = 1""",
     "lca_implicit_vertices": _lca("reach_implicit", "year", "papers_implicit"),
     "cocitation_lca": """select p1, p2, ca, year
 from (select a.p1, b.p1 as p2, a.p2 as ca, p.year,
@@ -270,11 +306,8 @@ left join (select k, count(*) as edges
            from (select unnest(range(1, c + 1)) as k from ({FOLLOW_CORES})) group by k) using (k)""",
     "core_edges_by_k_in_out": f"""select k, u, v
 from (select u, v, unnest(range(1, c + 1)) as k from ({FOLLOW_CORES}))""",
-    "core_sizes": f"""select k, vertices, coalesce(edges, 0) as edges
-from (select k, count(*) as vertices
-      from (select unnest(range(1, c + 1)) as k from core) group by k)
-left join (select k, count(*) as edges
-           from (select unnest(range(1, c + 1)) as k from ({EDGE_CORES})) group by k) using (k)""",
+    "core_sizes": CORE_SIZES,
+    "core_sizes_range": f"""select * from ({CORE_SIZES}) where k between {K} and {K} + 3""",
     "significant_halos": "select nowGroup, grpID, timeStep, totalParticles from big_halos",
     "max_timestep": "select max(timeStep) as maxT from big_halos",
     "cross_singleton": """select h.*, m.maxT

@@ -11,21 +11,23 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from iterweave.operators.adjacency import Adjacency
-from iterweave.plans.fixpoint import replace_until
-from iterweave.workspace import Stored, Workspace
+from iterweave.operators.orders import Falling, Remaining
+from iterweave.plans.relations import Improving
+from iterweave.workspace import Workspace
 
 
 def kcore_vertices(ws: Workspace, network: DataFrame, k: int) -> DataFrame:
     """(v, degree): vertices of the maximal subgraph with all degrees >= k."""
-    alive, adjacency = _peel(ws, _unit_weights(network), k)
+    degrees, adjacency = _peel(ws, _unit_weights(network), k)
     adjacency.discard()
-    return alive.df.toDF("v", "degree")
+    return _alive(degrees).toDF("v", "degree")
 
 
 def kcore_edges(ws: Workspace, network: DataFrame, k: int) -> DataFrame:
     """Edges (u, v) of the k-core, in both directions."""
-    alive, adjacency = _peel(ws, _unit_weights(network), k)
-    return _induced(alive.df, adjacency).select(F.col("src").alias("u"), F.col("dst").alias("v"))
+    degrees, adjacency = _peel(ws, _unit_weights(network), k)
+    inside = _induced(_alive(degrees), adjacency)
+    return inside.select(F.col("src").alias("u"), F.col("dst").alias("v"))
 
 
 def kcore_in_out(ws: Workspace, follows: DataFrame, k: int) -> DataFrame:
@@ -35,9 +37,9 @@ def kcore_in_out(ws: Workspace, follows: DataFrame, k: int) -> DataFrame:
     the peeling and appear again in the result.
     """
     edges = ws.materialize(follows.filter(F.col("u") != F.col("v")), "follows").df
-    alive, adjacency = _peel(ws, _both_ways(edges), k)
+    degrees, adjacency = _peel(ws, _both_ways(edges), k)
     adjacency.discard()
-    kept = alive.df.select("vertex")
+    kept = _alive(degrees).select("vertex")
     return edges.join(kept.toDF("u"), "u", "left_semi").join(
         kept.toDF("v"), "v", "left_semi"
     ).select("u", "v")
@@ -56,43 +58,31 @@ def _unit_weights(network: DataFrame) -> DataFrame:
     )
 
 
-def _peel(ws: Workspace, weighted: DataFrame, k: int) -> tuple[Stored, Adjacency]:
+def _peel(ws: Workspace, weighted: DataFrame, k: int) -> tuple[Improving, Adjacency]:
     """Remove vertices below degree k until none is left.
 
-    A round sends messages only from the vertices it removes; the state it rewrites is
-    one row per vertex.  The edge table stays where it is.
+    Degrees are a base table and the losses of each round.  A round sends messages only from
+    the vertices it removes, and writes only the losses of vertices that were still there;
+    neither the edges nor the degrees move.
     """
     adjacency = Adjacency.build(ws, weighted, "src")
-    degree = F.col("degree")
-    low = degree < k
-
-    start = (
-        adjacency.edges.groupBy("src")
-        .agg(F.sum("w").alias("degree"))
-        .withColumnRenamed("src", "vertex")
-    )
-
-    def remove_low(state: Stored, _: int) -> DataFrame:
-        kept = state.df.filter(~low)
-        lost = (
-            adjacency.out_of(state.df.filter(low).select("vertex"), "vertex")
-            .groupBy("dst")
-            .agg(F.sum("w").alias("lost"))
-            .withColumnRenamed("dst", "vertex")
-        )
-        return kept.join(lost, "vertex", "left").select(
-            "vertex", (degree - F.coalesce("lost", F.lit(0).cast("long"))).alias("degree")
+    fell = F.count_if("fell")
+    start = adjacency.edges.groupBy(F.col("src").alias("vertex")).agg(F.sum("w").alias("degree"))
+    start = start.withColumn("fell", F.col("degree") < k)
+    order = Remaining(["vertex"], "degree", "fell", k)
+    degrees = Improving(ws, "degrees", start, order, fell=fell)
+    while degrees.metrics["fell"]:
+        removed = degrees.delta().filter("fell").select("vertex")
+        lost = adjacency.out_of(removed, "vertex").select(
+            F.col("dst").alias("vertex"), F.col("w").alias("degree"), F.lit(False).alias("fell")
         )
+        degrees.improve(lost, fell=fell)
+    return degrees, adjacency
 
-    final = replace_until(
-        ws,
-        start,
-        remove_low,
-        lambda _, state: not state.metrics["low"],
-        name="degrees",
-        low=F.count_if(low),
-    )
-    return final, adjacency
+
+def _alive(degrees: Improving) -> DataFrame:
+    """(vertex, degree) of what is left."""
+    return degrees.read().filter("not fell").select("vertex", "degree")
 
 
 def _induced(vertices: DataFrame, adjacency: Adjacency) -> DataFrame:
@@ -111,51 +101,46 @@ def core_numbers(ws: Workspace, network: DataFrame) -> DataFrame:
     """
     claims, adjacency = _core_numbers(ws, _unit_weights(network))
     adjacency.discard()
-    return claims.df.select(F.col("vertex").alias("v"), "core")
-
+    return claims.read().select(F.col("vertex").alias("v"), "core")
 
-def _core_numbers(ws: Workspace, weighted: DataFrame) -> tuple[Stored, Adjacency]:
-    """State (vertex, core, was): the claims of this round and of the one before."""
-    adjacency = Adjacency.build(ws, weighted, "src")
-    core, was = F.col("core"), F.col("was")
-    start = adjacency.edges.groupBy(F.col("src").alias("vertex")).agg(F.sum("w").alias("core"))
-
-    def lower_claims(state: Stored, number: int) -> DataFrame:
-        if number == 1:  # no claim has been checked yet
-            near = adjacency.out_of(state.df, "vertex").select(
-                F.col("dst").alias("vertex"), "core", "w"
-            )
-        else:
-            near = _claims_around(state.df, adjacency)
-        old = state.df.select("vertex", core.alias("was"))
-        new = old.join(_supported_claim(near), "vertex", "left")
-        return new.select("vertex", F.coalesce("claim", "was").alias("core"), "was")
-
-    final = replace_until(
-        ws,
-        start.withColumn("was", core),
-        lower_claims,
-        lambda before, now: before is not None and not now.metrics["fell"],
-        name="claims",
-        fell=F.count_if(core < was),
-    )
-    return final, adjacency
 
+def _core_numbers(
+    ws: Workspace, weighted: DataFrame, kmin: int = 1, kmax: int | None = None
+) -> tuple[Improving, Adjacency]:
+    """(vertex, core, was): core numbers, up to ``kmax``, of the vertices in the kmin-core.
 
-def _claims_around(state: DataFrame, adjacency: Adjacency) -> DataFrame:
+    Only that range is worked on: what is outside the kmin-core goes before the first claim,
+    and no claim starts above kmax, where it would only fall to a number that is not asked
+    for.  Claims are a base table and the falls of each round.
+    """
+    if kmin > 1:  # every vertex with an edge is in the 1-core
+        degrees, adjacency = _peel(ws, weighted, kmin)
+        start = _alive(degrees)
+    else:
+        adjacency = Adjacency.build(ws, weighted, "src")
+        start = adjacency.edges.groupBy(F.col("src").alias("vertex")).agg(F.sum("w").alias("degree"))
+    first = F.col("degree") if kmax is None else F.least("degree", F.lit(kmax).cast("long"))
+    start = start.select("vertex", first.alias("core"), first.alias("was"))
+    claims = Improving(ws, "claims", start, Falling(["vertex"], "core", "was"))
+    if kmin > 1:
+        degrees.discard()
+    # No claim has been checked yet: the first round looks at every edge.
+    near = adjacency.out_of(claims.read(), "vertex").select(F.col("dst").alias("vertex"), "core", "w")
+    while claims.improve(_supported_claim(near).withColumn("was", F.col("core"))):
+        near = _claims_around(claims.delta(), claims.read(), adjacency)
+    return claims, adjacency
+
+
+def _claims_around(dropped: DataFrame, claims: DataFrame, adjacency: Adjacency) -> DataFrame:
     """(vertex, core of a neighbour, weight of the edge) for the vertices whose own claim
     may have to fall.
 
     A neighbour's fall from ``was`` to ``core`` only hurts claims in between: higher ones
     never counted it, lower ones still do.
     """
-    dropped = state.filter("core < was").select(
-        "vertex", F.col("core").alias("low"), F.col("was").alias("high")
-    )
-    hit = adjacency.out_of(dropped, "vertex").select(
-        F.col("dst").alias("vertex"), "low", "high"
-    )
-    claim = state.select("vertex", "core")
+    falls = dropped.select("vertex", F.col("core").alias("low"), F.col("was").alias("high"))
+    hit = adjacency.out_of(falls, "vertex").select(F.col("dst").alias("vertex"), "low", "high")
+    claim = claims.select("vertex", "core")
     hurt = hit.join(claim, "vertex").filter("low < core and core <= high")
     return (
         adjacency.out_of(hurt.select("vertex").distinct(), "vertex")
@@ -166,7 +151,7 @@ def _claims_around(state: DataFrame, adjacency: Adjacency) -> DataFrame:
 
 
 def _supported_claim(near: DataFrame) -> DataFrame:
-    """(vertex, claim): the largest h that edges to neighbours claiming h or more weigh.
+    """(vertex, core): the largest h that edges to neighbours claiming h or more weigh.
 
     A hub may have any number of neighbours, but they are summed per claimed value
     before the shuffle, and E edges allow at most sqrt(2E) different degrees.
@@ -181,7 +166,7 @@ def _supported_claim(near: DataFrame) -> DataFrame:
         .agg(F.sum("w").alias("n"))
         .withColumn("support", F.sum("n").over(strongest_first))
         .groupBy("vertex")
-        .agg(F.max(F.least("core", "support")).alias("claim"))
+        .agg(F.max(F.least("core", "support")).alias("core"))
     )
 
 
@@ -193,8 +178,8 @@ def core_sizes(
     Cores are nested, so an edge is in all cores up to the smaller core number of its
     ends: two counts per core number, summed from the deepest core outwards.
     """
-    claims, adjacency = _core_numbers(ws, _unit_weights(network))
-    core = claims.df.select("vertex", "core")
+    claims, adjacency = _core_numbers(ws, _unit_weights(network), kmin, kmax)
+    core = claims.read().select("vertex", "core")
     return _nested_sizes(core, _edge_cores(core, adjacency).filter("src < dst"), kmin, kmax)
 
 
@@ -203,7 +188,7 @@ def core_sizes_in_out(
 ) -> DataFrame:
     """(k, vertices, edges) as ``core_sizes``, for directed edges and in + out degrees;
     parallel edges count separately."""
-    core, edges = _directed_cores(ws, follows)
+    core, edges = _directed_cores(ws, follows, kmin, kmax)
     return _nested_sizes(core, edges, kmin, kmax)
 
 
@@ -211,16 +196,18 @@ def core_edges_by_k_in_out(
     ws: Workspace, follows: DataFrame, kmin: int = 1, kmax: int | None = None
 ) -> DataFrame:
     """(k, u, v): the edges of every in + out core, in their own direction."""
-    _, edges = _directed_cores(ws, follows)
+    _, edges = _directed_cores(ws, follows, kmin, kmax)
     return _per_k(edges.toDF("u", "v", "core"), kmin, kmax)
 
 
-def _directed_cores(ws: Workspace, follows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(vertex, core) and (src, dst, core) of a directed multigraph, without self-edges."""
+def _directed_cores(
+    ws: Workspace, follows: DataFrame, kmin: int, kmax: int | None
+) -> tuple[DataFrame, DataFrame]:
+    """(vertex, core) and (u, v, core) of a directed multigraph, without self-edges."""
     edges = ws.materialize(follows.filter(F.col("u") != F.col("v")), "follows").df
-    claims, adjacency = _core_numbers(ws, _both_ways(edges))
+    claims, adjacency = _core_numbers(ws, _both_ways(edges), kmin, kmax)
     adjacency.discard()
-    core = claims.df.select("vertex", "core")
+    core = claims.read().select("vertex", "core")
     near, far = core.toDF("u", "near"), core.toDF("v", "far")
     inside = edges.join(near, "u").join(far, "v")
     return core, inside.select("u", "v", F.least("near", "far").alias("core"))
@@ -252,8 +239,8 @@ def core_edges_by_k(
     ws: Workspace, network: DataFrame, kmin: int = 1, kmax: int | None = None
 ) -> DataFrame:
     """(k, u, v), u < v: the edges of every core with kmin <= k <= kmax."""
-    claims, adjacency = _core_numbers(ws, _unit_weights(network))
-    edges = _edge_cores(claims.df.select("vertex", "core"), adjacency).filter("src < dst")
+    claims, adjacency = _core_numbers(ws, _unit_weights(network), kmin, kmax)
+    edges = _edge_cores(claims.read().select("vertex", "core"), adjacency).filter("src < dst")
     return _per_k(edges.toDF("u", "v", "core"), kmin, kmax)
 
 

@@ -124,9 +124,15 @@ class Workspace:
     def rounds(self, name: str, schema: T.StructType) -> RoundLog:
         return RoundLog(self, self.path(name), schema)
 
-    def discard(self, *tables: Stored | RoundLog) -> None:
+    def keyed_rounds(self, name: str, schema: T.StructType, keys: Sequence[str]) -> KeyedLog:
+        return KeyedLog(self, self.path(name), schema, keys)
+
+    def discard(self, *tables: Stored | RoundLog | KeyedLog) -> None:
         """Delete tables that nothing reads any more."""
         for table in tables:
+            if isinstance(table, KeyedLog):
+                self.spark.sql(f"DROP TABLE IF EXISTS {table.table}")
+                self._tables.remove(table.table)
             self._delete(table.path)
 
     def close(self) -> None:
@@ -141,14 +147,19 @@ class Workspace:
             _OPEN.remove(self)
 
     def _write(self, df, path, partition_by, measures) -> dict:
-        seen = Observation()
-        wanted = {"rows": F.count(F.lit(1)), **measures}
-        writer = df.observe(seen, *[c.alias(n) for n, c in wanted.items()]).write
+        seen, df = self._observed(df, measures)
+        writer = df.write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
         return seen.get
 
+    @staticmethod
+    def _observed(df: DataFrame, measures: dict[str, Column]) -> tuple[Observation, DataFrame]:
+        seen = Observation()
+        wanted = {"rows": F.count(F.lit(1)), **measures}
+        return seen, df.observe(seen, *[c.alias(n) for n, c in wanted.items()])
+
     def _delete(self, path: str) -> None:
         sc = self.spark.sparkContext
         target = sc._jvm.org.apache.hadoop.fs.Path(path)
@@ -182,3 +193,41 @@ class RoundLog:
         reader = self._ws.spark.read.schema(self.schema)
         paths = [f"{self.path}/{self.ROUND}={n}" for n in range(first, last + 1)]
         return reader.option("basePath", self.path).parquet(*paths)
+
+
+class KeyedLog:
+    """A round log that is hash-distributed on ``keys``, one file per bucket and round.
+
+    Joining with what is known, or aggregating it by the keys, moves only the other side: the
+    table stays where it is, however many rounds it holds.  There is one bucket per shuffle
+    partition, so a join's other side arrives in the same distribution and what is new is
+    written from the task that found it.
+    """
+
+    ROUND = RoundLog.ROUND
+
+    def __init__(self, ws: Workspace, path: str, schema: T.StructType, keys: Sequence[str]):
+        self._ws = ws
+        self.path = path
+        self.keys = list(keys)
+        self.table = f"iterweave_{uuid.uuid4().hex}"
+        self._fields = schema.fieldNames()
+        self.schema = T.StructType([*schema.fields, T.StructField(self.ROUND, T.LongType())])
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
+        by = ", ".join(f"`{k}`" for k in self.keys)
+        ws.spark.sql(
+            f"CREATE TABLE {self.table} ({columns}) USING parquet PARTITIONED BY ({self.ROUND}) "
+            f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {ws.partitions} BUCKETS LOCATION '{path}'"
+        )
+        ws._tables.append(self.table)
+
+    def append(self, df: DataFrame, number: int, **measures: Column) -> dict:
+        numbered = df.select(*self._fields).withColumn(self.ROUND, F.lit(number).cast("long"))
+        seen, numbered = self._ws._observed(numbered, measures)
+        numbered.write.insertInto(self.table)
+        return seen.get
+
+    def read(self, first: int, last: int | None = None) -> DataFrame:
+        last = first if last is None else last
+        found = self._ws.spark.table(self.table)
+        return found.filter(F.col(self.ROUND).between(first, last))

@@ -12,7 +12,6 @@ from iterweave.operators.degrees import (
     vertex_degree_in_out,
 )
 from iterweave.plans import cores
-from iterweave.plans.fixpoint import NotConverged, replace_until
 from iterweave.sources.graph import symmetrize
 from tests.conftest import rows
 
@@ -127,10 +126,3 @@ def test_degree_filter_with_hot_sources(table, hot):
     degree = Counter(u for u, _ in network)
     expected = [e for e in network if degree[e[0]] >= 4]
     assert rows(degree_filter(table(network, EDGE), 4, hot_key_rows=hot)) == expected
-
-
-def test_a_loop_that_does_not_settle_is_an_error(ws, table):
-    with pytest.raises(NotConverged):
-        replace_until(
-            ws, table([(1,)], "x long"), lambda s, _: s.df, lambda *_: False, name="x", max_rounds=2
-        )

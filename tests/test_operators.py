@@ -98,10 +98,13 @@ def test_common_ancestors_and_depth(large_ws, table):
     met = cite.oriented_meetings(found.filter("d = 2"), found.filter("d <= 2"))
     assert rows(met, "p1", "p2", "ca", "d1", "d2") == [(1, 2, 4, 2, 1)]
     assert rows(reach.reachable_by_depth(found)) == [(1, 2), (2, 2), (3, 1)]
-    assert rows(reach.distance_vectors(found)) == [
-        (3, 1, "1:1"),
-        (4, 2, "1:2,2:1"),
-        (5, 2, "1:3,2:2"),
+    vectors, _ = reach.distance_vectors(large_ws, links, table([(1,), (2,)], "id long"))
+    assert rows(reach.vector_text(vectors)) == [
+        (1, 0, 1, "0:0"),
+        (2, 0, 1, "1:0"),
+        (3, 0, 1, "0:1"),
+        (4, 0, 2, "0:2,1:1"),
+        (5, 0, 2, "0:3,1:2"),
     ]
 
 
