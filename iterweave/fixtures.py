@@ -78,6 +78,14 @@ class Inputs:
         known = self.citations().toDF("src", "dst")
         return weights.join(known, ["src", "dst"])
 
+    def ordered_together(self) -> DataFrame:
+        """(p1, p2): seeds on lines of the same order; an order has a few lines."""
+        seeds = self.seeds()
+        lines = self.table("lineitem").select(F.col("l_orderkey").alias("o"), "l_partkey")
+        lines = lines.join(seeds.toDF("l_partkey"), "l_partkey")
+        pairs = lines.toDF("p1", "o").join(lines.toDF("p2", "o"), "o").filter("p1 < p2")
+        return pairs.select("p1", "p2").distinct()
+
     def poi(self) -> DataFrame:
         last = F.max(F.struct("o_orderdate", "o_orderkey", "o_orderpriority")).alias("last")
         yearly = (
@@ -103,6 +111,9 @@ class Inputs:
 
     def raw_lines(self) -> DataFrame:
         """One text line per part, damaged in three ways for three of the sizes."""
+        return self._lines().select("line")
+
+    def _lines(self) -> DataFrame:
         size, key = F.col("p_size"), F.col("p_partkey").cast("string")
         line = (
             F.when(size == 1, F.concat(F.lit("x"), key, F.lit(",1999")))
@@ -110,7 +121,11 @@ class Inputs:
             .when(size == 3, key)
             .otherwise(F.concat_ws(",", key, (size + 1950).cast("string")))
         )
-        return self.table("part").select(line.alias("line"))
+        return self.table("part").select(size.alias("size"), line.alias("line"))
+
+    def sized_lines(self) -> DataFrame:
+        """The same lines with the part's size."""
+        return self._lines().select("size", "line")
 
     def log_lines(self) -> DataFrame:
         """One timing-report line per order line; returned ones report another clock."""

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from iterweave.functions.expressions import greater, in_id_order
-from iterweave.operators.skew import pair_join
+from iterweave.operators.adjacency import Adjacency
 from iterweave.sources.graph import drop_self_edges
-from iterweave.tuning import DEFAULT
+from iterweave.workspace import Workspace
 
 
 def temporal_citations(citations: DataFrame, papers: DataFrame) -> DataFrame:
@@ -58,15 +58,13 @@ def seed_neighbors(citations: DataFrame, seeds: DataFrame) -> DataFrame:
     )
 
 
-def two_hop_distinct(citations: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(seed, vertex) pairs two citation hops apart."""
-    second = citations.toDF("vertex", "target")
-    return (
-        seed_neighbors(citations, seeds)
-        .join(second, "vertex")
-        .select("seed", F.col("target").alias("vertex"))
-        .distinct()
-    )
+def two_hop_distinct(ws: Workspace, citations: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(seed, vertex) pairs two citation hops apart.
+
+    A much cited paper meets its own citations in slices."""
+    adjacency = Adjacency.build(ws, citations.toDF("src", "dst"), "src")
+    second = adjacency.out_of(seed_neighbors(citations, seeds).select("seed", "vertex"), "vertex")
+    return second.select("seed", F.col("dst").alias("vertex")).distinct()
 
 
 def new_pairs(found: DataFrame, known: DataFrame) -> DataFrame:
@@ -74,18 +72,20 @@ def new_pairs(found: DataFrame, known: DataFrame) -> DataFrame:
     return found.select("seed", "vertex").join(known, ["seed", "vertex"], "left_anti").distinct()
 
 
-def common_ancestors(
-    reach: DataFrame,
-    papers: DataFrame,
-    block_rows: int = DEFAULT.pair_block_rows,
-) -> DataFrame:
-    """(p1, p2, ca, year, d1, d2) for every ancestor shared by two seeds, p1 < p2."""
-    a = reach.select("vertex", F.col("seed").alias("p1"), F.col("d").alias("d1"))
-    b = reach.select("vertex", F.col("seed").alias("p2"), F.col("d").alias("d2"))
+def common_ancestors(reach: DataFrame, papers: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(p1, p2, ca, year, d1, d2) for every ancestor shared by the two seeds of a stated pair.
+
+    ``pairs`` (p1, p2) says whose ancestors are wanted; each pair costs its own ancestors,
+    not the square of a vertex's seeds."""
+    a = reach.select(F.col("seed").alias("p1"), "vertex", F.col("d").alias("d1"))
+    b = reach.select(F.col("seed").alias("p2"), "vertex", F.col("d").alias("d2"))
     year = papers.select(F.col("id").alias("ca"), "year")
     return (
-        pair_join(a, b, "vertex", "p2", block_rows)
+        pairs.select("p1", "p2")
         .filter(F.col("p1") < F.col("p2"))
+        .distinct()
+        .join(a, "p1")
+        .join(b, ["p2", "vertex"])
         .withColumnRenamed("vertex", "ca")
         .join(year, "ca")
         .select("p1", "p2", "ca", "year", "d1", "d2")
@@ -108,13 +108,13 @@ def meeting(s1: Column, d1: Column, s2: Column, d2: Column) -> list[Column]:
     ]
 
 
-def oriented_meetings(
-    delta: DataFrame, reach: DataFrame, block_rows: int = DEFAULT.pair_block_rows
-) -> DataFrame:
-    """Meetings of newly reached rows with all reached rows of other seeds, with the
-    pair put in id order: (p1, p2, ca, d1, d2), each once."""
-    r1 = delta.select("vertex", F.col("seed").alias("s1"), F.col("d").alias("e1"))
-    r2 = reach.select("vertex", F.col("seed").alias("s2"), F.col("d").alias("e2"))
-    met = pair_join(r1, r2, "vertex", "s2", block_rows).filter(F.col("s1") != F.col("s2"))
+def oriented_meetings(delta: DataFrame, reach: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Meetings of newly reached rows with all reached rows of a stated partner, whichever of
+    the two is new, with the pair put in id order: (p1, p2, ca, d1, d2), each once."""
+    ends = pairs.select("p1", "p2")
+    both = ends.union(ends.select("p2", "p1")).toDF("s1", "s2").filter("s1 <> s2").distinct()
+    new = delta.select("vertex", F.col("seed").alias("s1"), F.col("d").alias("e1"))
+    old = reach.select("vertex", F.col("seed").alias("s2"), F.col("d").alias("e2"))
+    met = new.join(both, "s1").join(old, ["s2", "vertex"])
     sides = meeting(*(F.col(c) for c in ("s1", "e1", "s2", "e2")))
     return met.select(*sides, F.col("vertex").alias("ca")).distinct()

@@ -191,6 +191,9 @@ EDGE_CORES = """select n.u, n.v, least(a.c, b.c) as c from network n
 join core a on a.v = n.u join core b on b.v = n.v where n.u < n.v"""
 FOLLOW_CORES = """select f.u, f.v, least(a.c, b.c) as c from follows f
 join core_in_out a on a.v = f.u join core_in_out b on b.v = f.v"""
+TOGETHER = f"""select * from ({_common('reach')}) semi join (
+  select a.l_partkey as p1, b.l_partkey as p2
+  from lineitem a join lineitem b on a.l_orderkey = b.l_orderkey) using (p1, p2)"""
 CORE_SIZES = f"""select k, vertices, coalesce(edges, 0) as edges
 from (select k, count(*) as vertices
       from (select unnest(range(1, c + 1)) as k from core) group by k)
@@ -232,6 +235,13 @@ from (select id from papers union select l_partkey from lineitem
       union select l_orderkey from lineitem)
 left join papers using (id)""",
     "first_n_seeds": f"select id from papers order by id limit {FIRST_SEEDS}",
+    "quarantined_lines": """select cast(p_size as bigint) as size,
+  case when len(f) <> 2 then 'field count' else 'not a number' end as outcome, line
+from (select p_size, line, string_split(line, ',') as f
+      from part join raw_lines on line in (
+        'x' || cast(p_partkey as varchar) || ',1999', cast(p_partkey as varchar) || ',1999,extra',
+        cast(p_partkey as varchar)))
+where p_size in (1, 2, 3)""",
     "edge_sample_hash": f"""select p1, p2 from citations_raw
 where substr(md5(p1 || ':' || p2), 1, 4) < '{int(SAMPLE_RATE * 0x10000):04x}'""",
     "symmetrize": "select u, v from network",
@@ -259,9 +269,9 @@ where p.year >= q.year""",
 from ({NEIGHBORS} union all
       select n.seed, c.p2, n.d + 1 from ({NEIGHBORS}) n join citations c on c.p1 = n.vertex)
 group by seed, vertex""",
-    "common_ancestors": _common("reach"),
-    "pair_depth": f"select p1, p2, ca, greatest(d1, d2) as depth from ({_common('reach')})",
-    "pick_min_max": f"select p1, p2, ca, d1, d2 from ({_common('reach')})",
+    "common_ancestors": TOGETHER,
+    "pair_depth": f"select p1, p2, ca, greatest(d1, d2) as depth from ({TOGETHER})",
+    "pick_min_max": f"select p1, p2, ca, d1, d2 from ({TOGETHER})",
     "reachable_pairs": "select seed, vertex from reach",
     "min_hops": "select seed, vertex, d from reach",
     "reachable_by_depth": "select d, count(*) as pairs from reach group by d",

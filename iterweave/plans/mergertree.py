@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from iterweave.workspace import Workspace
 
+# The columns of the relation of edges.
 EDGE = ["nowGroup", "currentTime", "currentGroup", "nextGroup", "sharedParticleCount"]
 
 
@@ -38,25 +40,27 @@ def significant_particles(poi: DataFrame, halos: DataFrame) -> DataFrame:
 def snapshot_transitions(particles: DataFrame) -> DataFrame:
     """Shared-particle counts between groups at t and t+1.
 
-    Rows are counted per particle and group first.  A particle id with very many rows
-    then costs one row per group it was in, and the join multiplies counts instead of
-    forming all pairs of rows.
+    Particles are dealt out once, by particle; counting their rows per step and group, and
+    meeting a step with the next one, both happen within a particle, where they lie.  The next
+    step is a window over step numbers, and holds at most the groups of one step; a row stands
+    for its repetitions, so counts are multiplied instead of forming all pairs of rows.
     """
-    seen = particles.groupBy("nowGroup", "iOrder", "timestep", "grp").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    now = seen.withColumnRenamed("grp", "currentGroup")
-    following = seen.select(
-        "nowGroup",
-        "iOrder",
-        (F.col("timestep") - 1).alias("timestep"),
-        F.col("grp").alias("nextGroup"),
-        F.col("n").alias("m"),
+    seen = (
+        particles.repartition("nowGroup", "iOrder")
+        .groupBy("nowGroup", "iOrder", "timestep", "grp")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    steps = Window.partitionBy("nowGroup", "iOrder").orderBy(F.col("timestep").cast("long"))
+    follows = F.collect_list(F.struct("grp", "n")).over(steps.rangeBetween(1, 1))
+    met = seen.withColumn("follows", follows).withColumn("next", F.explode("follows"))
     return (
-        now.join(following, ["nowGroup", "iOrder", "timestep"])
-        .groupBy("nowGroup", F.col("timestep").alias("currentTime"), "currentGroup", "nextGroup")
-        .agg(F.sum(F.col("n") * F.col("m")).alias("sharedParticleCount"))
+        met.groupBy(
+            "nowGroup",
+            F.col("timestep").alias("currentTime"),
+            F.col("grp").alias("currentGroup"),
+            F.col("next.grp").alias("nextGroup"),
+        )
+        .agg(F.sum(F.col("n") * F.col("next.n")).alias("sharedParticleCount"))
         .select(EDGE)
     )
 
@@ -85,10 +89,17 @@ def merger_tree(
     The edges are written once, one directory per time step; level t reads only its own
     directory and keeps the edges that start in a group the previous level ended in.
     """
-    if recurse_on not in ("filtered", "all"):
-        raise ValueError(f"recurse_on must be 'filtered' or 'all', not {recurse_on!r}")
     big = significant_halos(halos, min_particles)
     transitions = snapshot_transitions(significant_particles(poi, big))
+    return tree_of(ws, transitions, min_shared, recurse_on=recurse_on)
+
+
+def tree_of(
+    ws: Workspace, transitions: DataFrame, min_shared: int, *, recurse_on: str = "filtered"
+) -> DataFrame:
+    """``merger_tree`` over transitions that are known already."""
+    if recurse_on not in ("filtered", "all"):
+        raise ValueError(f"recurse_on must be 'filtered' or 'all', not {recurse_on!r}")
     heavy = weighted_edges(transitions, min_shared)
     followed = heavy if recurse_on == "filtered" else transitions
     edges = ws.materialize(

@@ -151,6 +151,18 @@ def csv_rejects(t, ws):
     return text.count_rejects(ws.spark, path, schema)
 
 
+@query
+def quarantined_lines(t, ws):
+    """The rejected lines of a folder of files, with the folder that a line's file is in."""
+    path = ws.path("lines")
+    t.sized_lines().write.partitionBy("size").text(path)
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("p1", "p2")])
+    _, rejected = text.quarantine(ws, path, schema)
+    kept = sinks.store(rejected, ws.name("rejects"))
+    size = F.regexp_extract("file", "size=([0-9]+)", 1).cast("long").alias("size")
+    return kept.select(size, "outcome", "line")
+
+
 @query
 def edge_sample_hash(t, ws):
     return graph.sample_edges_by_hash(t.citations_raw(), SAMPLE_RATE)
@@ -230,7 +242,7 @@ def seed_neighbors(t, ws):
 
 @query
 def two_hop_distinct(t, ws):
-    return cite.two_hop_distinct(t.citations(), t.seeds())
+    return cite.two_hop_distinct(ws, t.citations(), t.seeds())
 
 
 @query
@@ -238,14 +250,14 @@ def new_pairs_diff(t, ws):
     citations = ws.materialize(t.citations(), "citations").df
     seeds = t.seeds()
     return cite.new_pairs(
-        cite.two_hop_distinct(citations, seeds), cite.seed_neighbors(citations, seeds)
+        cite.two_hop_distinct(ws, citations, seeds), cite.seed_neighbors(citations, seeds)
     )
 
 
 @query
 def relax_one_hop(t, ws):
     citations = ws.materialize(t.citations(), "citations").df
-    return reach.relax_one_hop(cite.seed_neighbors(citations, t.seeds()), citations)
+    return reach.relax_one_hop(ws, cite.seed_neighbors(citations, t.seeds()), citations)
 
 
 def _reach(t, ws, **options):
@@ -254,18 +266,18 @@ def _reach(t, ws, **options):
 
 @query
 def common_ancestors(t, ws):
-    return cite.common_ancestors(_reach(t, ws), t.papers())
+    return cite.common_ancestors(_reach(t, ws), t.papers(), t.ordered_together())
 
 
 @query
 def pair_depth(t, ws):
-    return cite.pair_depth(cite.common_ancestors(_reach(t, ws), t.papers()))
+    return cite.pair_depth(cite.common_ancestors(_reach(t, ws), t.papers(), t.ordered_together()))
 
 
 @query
 def pick_min_max(t, ws):
     found = _reach(t, ws)
-    return cite.oriented_meetings(found, found)
+    return cite.oriented_meetings(found, found, t.ordered_together())
 
 
 # --- reachability ------------------------------------------------------------
@@ -283,7 +295,7 @@ def min_hops(t, ws):
 
 @query
 def reachable_by_depth(t, ws):
-    return reach.reachable_by_depth(_reach(t, ws))
+    return reach.reachable_by_depth(ws, t.citations(), t.seeds())
 
 
 @query
@@ -441,18 +453,10 @@ def _tree(t, ws, **options):
     halos = poi.groupBy(
         "nowGroup", F.col("grp").alias("grpID"), F.col("timestep").alias("timeStep")
     ).agg(F.count(F.lit(1)).alias("totalParticles"))
-    limit = _mean(halos, "totalParticles")
-    shared = mergertree.snapshot_transitions(
-        mergertree.significant_particles(poi, mergertree.significant_halos(halos, limit))
-    )
-    return mergertree.merger_tree(
-        ws,
-        poi,
-        halos,
-        min_particles=limit,
-        min_shared=_mean(shared, "sharedParticleCount"),
-        **options,
-    )
+    big = mergertree.significant_halos(halos, _mean(halos, "totalParticles"))
+    shared = mergertree.snapshot_transitions(mergertree.significant_particles(poi, big))
+    shared = ws.materialize(shared, "shared").df
+    return mergertree.tree_of(ws, shared, _mean(shared, "sharedParticleCount"), **options)
 
 
 @query

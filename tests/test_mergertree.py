@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 
 from iterweave.plans import mergertree as m
@@ -93,3 +96,20 @@ def test_max_time_next_to_every_halo(table):
     halos = table([("a", 1, 1, 5), ("a", 1, 4, 5)], HALO)
     assert rows(m.max_timestep(halos)) == [(4,)]
     assert rows(m.halos_with_max_time(halos), "timeStep", "maxT") == [(1, 4), (4, 4)]
+
+
+def test_steps_meet_where_their_particle_is(spark, table):
+    rng = random.Random(4)
+    data = [("a", rng.randrange(6), rng.choice([1, 2, 3, 5]), rng.randrange(3)) for _ in range(80)]
+    particles = table(data, "nowGroup string, iOrder long, timestep long, grp long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = m.snapshot_transitions(particles)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = rows(found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One exchange deals out the particles, the other the counts.
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+    want = Counter((g, t, a, b) for g, i, t, a in data for h, j, u, b in data if (h, j, u) == (g, i, t + 1))
+    assert got == sorted((*k, n) for k, n in want.items())

@@ -71,15 +71,15 @@ def test_large_adjacency_is_not_shuffled_again(spark, table):
         assert plan.count("Exchange hashpartitioning") == 3
 
 
-def test_relational_steps(table):
+def test_relational_steps(large_ws, table):
     links = table([(1, 3), (3, 4), (2, 4), (4, 5), (1, 4)], LINK)
     seeds = table([(1,), (2,)], "id long")
     near = cite.seed_neighbors(links, seeds)
     assert rows(near) == [(1, 3, 1), (1, 4, 1), (2, 4, 1)]
-    two = cite.two_hop_distinct(links, seeds)
+    two = cite.two_hop_distinct(large_ws, links, seeds)
     assert rows(two) == [(1, 4), (1, 5), (2, 5)]
     assert rows(cite.new_pairs(two, near)) == [(1, 5), (2, 5)]
-    assert rows(reach.relax_one_hop(near, links)) == [
+    assert rows(reach.relax_one_hop(large_ws, near, links)) == [
         (1, 3, 1),
         (1, 4, 1),
         (1, 5, 2),
@@ -92,12 +92,15 @@ def test_common_ancestors_and_depth(large_ws, table):
     links = table([(1, 3), (3, 4), (2, 4), (4, 5)], LINK)
     papers = table([(i, 1990 + i) for i in range(1, 6)], "id long, year long")
     found = reach.min_hops(large_ws, links, table([(1,), (2,)], "id long"))
-    common = cite.common_ancestors(found, papers, block_rows=1)
+    pairs = table([(1, 2), (1, 2), (2, 1), (1, 7), (2, 2)], LINK)
+    common = cite.common_ancestors(found, papers, pairs)
     assert rows(common) == [(1, 2, 4, 1994, 2, 1), (1, 2, 5, 1995, 3, 2)]
+    assert rows(cite.common_ancestors(found, papers, table([(1, 7)], LINK))) == []
     assert rows(cite.pair_depth(common)) == [(1, 2, 4, 2), (1, 2, 5, 3)]
-    met = cite.oriented_meetings(found.filter("d = 2"), found.filter("d <= 2"))
+    met = cite.oriented_meetings(found.filter("d = 2"), found.filter("d <= 2"), pairs)
     assert rows(met, "p1", "p2", "ca", "d1", "d2") == [(1, 2, 4, 2, 1)]
-    assert rows(reach.reachable_by_depth(found)) == [(1, 2), (2, 2), (3, 1)]
+    counted = reach.reachable_by_depth(large_ws, links, table([(1,), (2,)], "id long"))
+    assert rows(counted) == [(1, 2), (2, 2), (3, 1)]
     vectors, _ = reach.distance_vectors(large_ws, links, table([(1,), (2,)], "id long"))
     assert rows(reach.vector_text(vectors)) == [
         (1, 0, 1, "0:0"),

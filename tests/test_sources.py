@@ -195,3 +195,25 @@ def test_core_edges_are_one_folder_per_k(table, tmp_path):
     edges = table([(k, i, i) for k in (1, 2) for i in range(100)], "k long, u long, v long")
     sinks.write_core_edges(edges.repartition(8), str(path), rows_per_file=30)
     assert all(1 <= len(list(path.glob(f"k={k}/part-*"))) <= 4 for k in (1, 2))
+
+
+@pytest.mark.parametrize("part", ["40b", "128m"])
+def test_rejected_lines_are_kept_with_their_place(spark, ws, tmp_path, part):
+    schema = T.StructType([T.StructField("p1", T.LongType()), T.StructField("p2", T.LongType())])
+    bad = {3: "x,1", 7: "1,2,3", 20: "5", 33: "4,y"}
+    for name in ("a.csv", "b.csv"):
+        held = [bad.get(i, "" if i == 10 else f"{i},{i}") for i in range(1, 41)]
+        (tmp_path / name).write_text("\n".join(held) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", part)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        accepted, rejected = text.quarantine(ws, str(tmp_path), schema)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    why = {3: "not a number", 7: "field count", 20: "field count", 33: "not a number"}
+    got = sorted((r.file.split("/")[-1], r.number, r.outcome, r.line) for r in rejected.collect())
+    assert got == sorted((f, n, why[n], line) for f in ("a.csv", "b.csv") for n, line in bad.items())
+    assert rows(accepted) == rows(text.read_delimited(spark, str(tmp_path), schema))
+    counts = dict(rows(text.count_rejects(spark, str(tmp_path), schema)))
+    assert counts == {"accepted": accepted.count(), "field count": 4, "not a number": 4}
