@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 MAX_DOCS = 300
-MAX_CONTEXTS = 20_000
+MAX_CONTEXTS = 20_000  # of each length and language, by that language's own counts
 SLICE = 1 << 20  # symbols scored at once
 UNKNOWN = "und"
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
@@ -158,7 +158,12 @@ def build(counts: list[tuple[str, int, int]], max_contexts: int = MAX_CONTEXTS)
     a, b, c, d = (dense[gram // WIDTH**i % WIDTH] for i in (3, 2, 1, 0))
 
     three, two = (a * width + b) * width + c, b * width + c
-    kept3, kept2 = (_frequent(key, n, max_contexts) for key in (three, two))
+    kept3, kept2 = (
+        np.unique(
+            np.concatenate([_frequent(key[lang == i], n[lang == i], max_contexts) for i in number.values()])
+        )
+        for key in (three, two)
+    )
     # Rows: contexts of one symbol, then of two, then of three.  A context of three is kept
     # with its last two known, so each falls back to a row of its own.
     kept3 = kept3[np.isin(kept3 % width**2, kept2)]

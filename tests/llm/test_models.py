@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import random
@@ -257,6 +258,73 @@ def test_code_lengths_are_sums_whatever_the_slices(monkeypatch):
     assert model.code_lengths(text) == pytest.approx(whole)
 
 
+def _counted(texts):
+    rows = []
+    for lang, held in texts.items():
+        parts = [op10_ppm_language.grams(t) for t in held]
+        found, n = np.unique(np.concatenate(parts), return_counts=True)
+        rows += [(lang, int(g), int(k)) for g, k in zip(found, n, strict=True)]
+    return rows
+
+
+def _direct_ppm(texts, data, longest=3):
+    """{language: code length} by dictionaries of contexts, one symbol at a time."""
+    base = op10_ppm_language.BASE
+    used = {0} | {int(base[b]) for held in texts.values() for t in held for b in t}
+    width, found = len(used) + 1, {}
+    spell = lambda t: [0] * 3 + [x if x in used else -1 for x in (int(base[b]) for b in t)]
+    symbols = [*sorted(used), -1]
+    for lang, held in texts.items():
+        counts = {}
+        for s in map(spell, held):
+            for i in range(3, len(s)):
+                for k in range(longest + 1):
+                    tree = counts.setdefault(tuple(s[i - k : i]), {})
+                    tree[s[i]] = tree.get(s[i], 0) + 1
+
+        @functools.cache
+        def chances(context, counts=counts, below=None):
+            shorter = {x: 1 / width for x in symbols} if not context else chances(context[1:])
+            seen = counts.get(context)
+            if not seen:
+                return shorter
+            escapes = len(seen) if len(seen) < width else 0
+            total = sum(seen.values()) + escapes
+            left = sum(p for x, p in shorter.items() if x not in seen)
+            return {x: seen[x] / total if x in seen else escapes / total * shorter[x] / left for x in symbols}
+
+        s = spell(data)
+        found[lang] = -sum(math.log2(chances(tuple(s[i - longest : i]))[s[i]]) for i in range(longest, len(s)))
+    return found
+
+
+def test_code_lengths_are_those_of_a_direct_ppm():
+    rng = random.Random(3)
+    texts = {
+        "a": [" ".join(words(60, i, 40)).encode() for i in range(4)],
+        "b": ["".join(rng.choice("abc é,") for _ in range(300)).encode(), b"", b"Zz"],
+        "c": [b"one single line."],
+    }
+    model = op10_ppm_language.build(_counted(texts))
+    for data in (b"", b"abc", "w12 w3 \xe9t\xe9 q\u20ac".encode(), texts["a"][0], b"zzz ~ 9"):
+        want = _direct_ppm(texts, data)
+        assert model.code_lengths(data) == pytest.approx([want[x] for x in model.languages], rel=1e-4, abs=1e-3)
+
+
+def test_a_rare_language_keeps_its_own_contexts():
+    much = [" ".join(words(3000, i)).encode() for i in range(3)]
+    little = [b"der hund und die katze und der bund"]
+    limit = 40  # far fewer than the large language has
+    model = op10_ppm_language.build(_counted({"big": much, "small": little}), max_contexts=limit)
+    alone = op10_ppm_language.build(_counted({"big": [b"x"], "small": little}), max_contexts=limit)
+    kept = lambda m: (m.rows >= m.width).sum()
+    assert kept(model) >= kept(alone)
+    assert model.predict(b"und die katze")[0] == "small"
+    wide = op10_ppm_language.build(_counted({"big": much, "small": little}))
+    at = model.languages.index("small")
+    assert model.code_lengths(little[0])[at] == pytest.approx(wide.code_lengths(little[0])[at], rel=1e-4)
+
+
 def test_held_out_languages(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     got = op10_ppm_language.op10_language_id(spark, table).join(table.select("doc_id", "lang"), "doc_id")
