@@ -18,8 +18,8 @@ class Improving:
 
     A round appends what got better, so it writes in proportion to that; the log is
     distributed on the key and merged on read, in place.  When the improvements outgrow what
-    they improve, they are folded into one row per key, so reading costs at most twice the
-    relation, and folding no more than the appends before it.
+    they improve twofold, they are folded into one row per key, so reading costs at most three
+    times the relation and a round, and folding at most half of the appends before it.
     """
 
     def __init__(
@@ -61,7 +61,7 @@ class Improving:
         if self._changed[0] is not self.log:
             self.ws.discard(self._changed[0])
         self._changed = self.log, self.round
-        if self._since > self._folded:
+        if self._since > 2 * self._folded:
             self._fold()
         return rows
 

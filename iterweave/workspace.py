@@ -217,7 +217,7 @@ class KeyedLog:
         by = ", ".join(f"`{k}`" for k in self.keys)
         ws.spark.sql(
             f"CREATE TABLE {self.table} ({columns}) USING parquet PARTITIONED BY ({self.ROUND}) "
-            f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {ws.partitions} BUCKETS LOCATION '{path}'"
+            f"CLUSTERED BY ({by}) INTO {ws.partitions} BUCKETS LOCATION '{path}'"
         )
         ws._tables.append(self.table)
 

@@ -63,7 +63,7 @@ def test_improvements_are_folded_when_they_outgrow_the_relation(ws, table):
         assert rows(best.delta()) == [(k, value) for k in range(3)]
         assert rows(best.read()) == [(0, value), (1, value), (2, value), (3, 100)]
         held = best.log.read(0, best.round).count()
-        assert held <= 2 * 4 + 3
+        assert held <= 3 * 4 + 3
 
 
 def dijkstra(links, seed):
