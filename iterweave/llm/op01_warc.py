@@ -44,15 +44,16 @@ RECORD = (
     "block",
 )
 
-# Patterns that mean the same to Java's and RE2's regular expressions; applied in turn.
-_TAG = r"(?:[ \t\r\n/][^>]*)?>"
+# Patterns that mean the same to Java's and RE2's regular expressions; applied in turn.  A tag
+# ends before the next "<", so that a page of unclosed tags is read once and not from each.
+_TAG = r"(?:[ \t\r\n/][^<>]*)?>"
 _BREAKS = "p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|td|th|table|article|section|header|footer|nav|aside|main|title|head|body|html|blockquote|pre|form"
 REPLACEMENTS = (
     (r"(?s)<!--.*?(?:-->|\z)", " "),
     (rf"(?is)<script{_TAG}.*?(?:</script{_TAG}|\z)", " "),
     (rf"(?is)<style{_TAG}.*?(?:</style{_TAG}|\z)", " "),
     (rf"(?i)</?(?:{_BREAKS}){_TAG}", "\n"),
-    (r"<[a-zA-Z/!?][^>]*>", ""),
+    (r"<[a-zA-Z/!?][^<>]*>", ""),
     (r"&nbsp;|&#160;", " "),
     ("&lt;", "<"),
     ("&gt;", ">"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +74,24 @@ def test_warc_file_reads_back(spark, pages, tmp_path):
     assert sorted(found) == sorted((r.record_id, r.block) for r in records.collect())
 
 
+@pytest.mark.parametrize("piece", ["<p ", "<", "<script ", "</style", "<!-", "<a b='", "&am", " \n"])
+def test_malformed_pages_take_time_in_proportion(spark, piece):
+    page = piece * (5_000_000 // len(piece))
+    table = spark.createDataFrame([("", 0)], "html string, page_id long").select(
+        F.repeat(F.lit(piece), len(page) // len(piece)).alias("html"), F.lit("u").alias("url"), "page_id"
+    )
+    start = time.time()
+    assert op01_warc.derivatives(op01_warc.responses(table)).count() == 2
+    made = op01_warc.derivatives(op01_warc.responses(table)).filter("record_type = 'conversion'").first()
+    assert len(made.block) <= len(page) and time.time() - start < 30
+
+
+def test_warc_columns_that_clash(spark, pages):
+    clashing = pages.withColumns({c: F.lit("mine") for c in ("block", "date", "record_id", "headers")})
+    made = {tuple(r) for r in op01_warc.derivatives(op01_warc.responses(clashing)).collect()}
+    assert made == {tuple(r) for r in op01_warc.derivatives(op01_warc.responses(pages)).collect()}
+
+
 def test_warc_empty(spark, pages):
     assert op01_warc.derivatives(op01_warc.responses(pages.limit(0))).count() == 0
 
