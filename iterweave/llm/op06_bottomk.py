@@ -54,7 +54,7 @@ SIMILARITY = (80, 100)  # link when 100 * intersection >= 80 * union
 WIDTH = 2  # words of a shingle
 SKETCH = 32  # retained values: k
 OVERLAP = 14  # of k; P(fewer shared | similarity 0.8) is 1.2e-6
-AROUND = 8  # of k: members of a list that share so many with its first centre are measured
+AROUND = 4  # of k: members of a list that share so many with its first centre are measured
 CENTRES = 3  # members of a list that all others are compared with in the first pass
 
 _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -215,9 +215,7 @@ def first_pass(lists: DataFrame, middle: DataFrame) -> DataFrame:
 
 def edited_groups(measured: DataFrame, middle: DataFrame, labels: DataFrame) -> DataFrame:
     """(centre, node, size, component, edits): what was measured against first centres, and
-    those themselves, for groups with pairs between components that were not measured.
-
-    Repeated ids have several sets; they are left out, as not measured."""
+    those themselves.  Repeated ids have several sets; they are left out, as not measured."""
     first = middle.filter("rank = 1").select("centre", F.col("centre_size")).distinct()
     sides = [("a", "b", "b_only"), ("b", "a", "a_only")]
     both = reduce(
@@ -236,29 +234,42 @@ def edited_groups(measured: DataFrame, middle: DataFrame, labels: DataFrame) ->
         "centre", F.col("centre").alias("node"), F.col("centre_size").alias("size"), F.array().cast("array<bigint>").alias("edits")
     )
     rows = both.union(itself).join(labels, "node", "left")
-    rows = rows.withColumn("component", F.coalesce("component", "node"))
-    alone = rows.groupBy("centre", "node").agg(F.count(F.lit(1)).alias("n")).filter("n = 1")
-    rows = rows.join(alone.select("centre", "node"), ["centre", "node"], "left_semi")
-    parts = rows.groupBy("centre").agg(
+    single = rows.groupBy("centre", "node").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.first("size").alias("size"),
+        F.first(F.coalesce("component", "node")).alias("component"),
+        F.first("edits").alias("edits"),
+    )
+    return single.filter("n = 1").drop("n")
+
+
+def with_open_pairs(groups: DataFrame) -> DataFrame:
+    """The groups with members of several components that were not compared, and their size."""
+    parts = groups.groupBy("centre").agg(
         F.count(F.lit(1)).alias("members"),
         (F.min("component") < F.max("component")).alias("several"),
     )
-    return rows.join(parts.filter("several and members > 2").drop("several"), "centre")
+    return groups.join(parts.filter("several and members > 2").drop("several"), "centre")
 
 
-def recentred(groups: DataFrame) -> DataFrame:
-    """``groups`` with their edits relative to what most members have, rarest first."""
-    codes = groups.select("centre", "node", "members", F.explode("edits").alias("code"))
-    counts = codes.groupBy("centre", "code").agg(
+def counted_edits(groups: DataFrame) -> DataFrame:
+    """(centre, code, holders, members): how many members of a group have an edit."""
+    codes = groups.select("centre", "members", F.explode("edits").alias("code"))
+    return codes.groupBy("centre", "code").agg(
         F.count(F.lit(1)).alias("holders"), F.first("members").alias("members")
     )
+
+
+def recentred(groups: DataFrame, counts: DataFrame) -> DataFrame:
+    """``groups`` with their edits relative to what most members have, rarest first."""
+    codes = groups.select("centre", "node", F.explode("edits").alias("code"))
     usual = counts.filter("2 * holders > members")  # at most twice the mean number of edits
-    own = codes.drop("members").join(counts.filter("2 * holders <= members"), ["centre", "code"])
+    own = codes.join(counts.filter("2 * holders <= members"), ["centre", "code"])
     lacking = (
         groups.select("centre", "node")
         .join(usual, "centre")
         .withColumn("holders", F.col("members") - F.col("holders"))
-        .join(codes.select("centre", "node", "code"), ["centre", "node", "code"], "left_anti")
+        .join(codes, ["centre", "node", "code"], "left_anti")
     )
     columns = ["centre", "node", "holders", "code"]
     edits = (
@@ -331,12 +342,11 @@ def pairs_by_edits(groups: DataFrame) -> DataFrame:
     )
 
 
-def pairs_by_lists(
+def open_lists(
     lists: DataFrame, labels: DataFrame, middle: DataFrame, groups: DataFrame
 ) -> DataFrame:
-    """(a, b) of different components that share a list of which at least one was not measured
-    against the first centre, but for those within the list's main component, which are
-    connected already."""
+    """The entries of lists that hold several components, with the list's largest one, all
+    values of the entry's node, and whether it was measured against the first centre."""
     labelled = lists.join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
@@ -350,17 +360,23 @@ def pairs_by_lists(
     first = middle.filter("rank = 1").select("value", "centre").distinct()
     known = groups.select("centre", "node", F.lit(True).alias("known"))
     values = lists.groupBy("node", "size").agg(F.collect_set("value").alias("values"))  # up to k
-    open_lists = (
+    return (
         labelled.join(main.join(first, "value"), "value")
         .join(known, ["centre", "node"], "left")
         .join(values, ["node", "size"])
         .select("value", "node", "size", "component", "main", "known", "values")
     )
-    minor = open_lists.filter("component <> main").select(
+
+
+def pairs_by_lists(entries: DataFrame) -> DataFrame:
+    """(a, b) of different components that share a list of which at least one was not measured
+    against the first centre, but for those within the list's main component, which are
+    connected already."""
+    minor = entries.filter("component <> main").select(
         "value", *[F.col(c).alias(f"{c}_a") for c in ("node", "size", "component", "known", "values")]
     )
     return (
-        open_lists.join(minor, "value")
+        entries.join(minor, "value")
         .filter("known is null or known_a is null")
         .filter(f"component <> component_a and {_similar_size('size', 'size_a')}")
         .filter("component = main or node_a < node")
@@ -400,8 +416,11 @@ def near_duplicates(
     measured = ws.materialize(measure(tried, docs, width), "measured").df
     labels = connected_components(ws, linked(measured))
     groups = ws.materialize(edited_groups(measured, middle, labels), "groups").df
-    edits = ws.materialize(scored(recentred(groups)), "edits").df
-    rest = pairs_by_edits(edits).union(pairs_by_lists(lists, labels, middle, groups)).distinct()
+    entries = ws.materialize(open_lists(lists, labels, middle, groups), "entries").df
+    groups = ws.materialize(with_open_pairs(groups), "open").df
+    counts = ws.materialize(counted_edits(groups), "counts").df
+    edits = ws.materialize(scored(recentred(groups, counts)), "edits").df
+    rest = pairs_by_edits(edits).union(pairs_by_lists(entries)).distinct()
     rest = rest.join(tried, ["a", "b"], "left_anti")
     rest = ws.materialize(_likely(rest, classes, k, F.lit(overlap)), "rest").df
     more = linked(measure(rest, docs, width)).union(sure_links(edits))
