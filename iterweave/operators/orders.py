@@ -68,6 +68,31 @@ class LeastSlots:
         return got.filter(F.exists(self.slots, lambda slot: slot.isNotNull()))
 
 
+@dataclass(frozen=True)
+class Bits:
+    """Bitmaps per key, arrays of ``width`` longs that are united.  A gain holds the bits that
+    were not set before, and nothing else."""
+
+    keys: Sequence[str]
+    bits: str
+    width: int
+
+    def merge(self, rows: DataFrame) -> DataFrame:
+        united = [F.bit_or(F.get(self.bits, F.lit(i))) for i in range(self.width)]
+        return rows.groupBy(*self.keys).agg(F.array(*united).alias(self.bits))
+
+    def gains(self, found: DataFrame, known: DataFrame) -> DataFrame:
+        met = found.join(_known(known, self.keys, [self.bits]), list(self.keys), "left")
+        none = F.array(*[F.lit(0).cast("long")] * self.width)
+        fresh = F.zip_with(
+            self.bits,
+            F.coalesce(F.col(f"known_{self.bits}"), none),
+            lambda new, old: new.bitwiseAND(F.bitwise_not(old)),
+        )
+        got = met.select(*self.keys, fresh.alias(self.bits))
+        return got.filter(F.exists(self.bits, lambda word: word != 0))
+
+
 @dataclass(frozen=True)
 class Falling:
     """A number per key that only falls, next to what it was before it last fell.  Keys that
@@ -110,4 +135,4 @@ class Remaining:
         )
 
 
-Order = Least | LeastSlots | Falling | Remaining
+Order = Least | LeastSlots | Bits | Falling | Remaining

@@ -12,6 +12,8 @@ class Tuning:
     hot_key_rows: int = 1_000_000
     # A self-join key with more rows than this is cut into blocks of about this many rows.
     pair_block_rows: int = 2_000
+    # Partners per bitmap of a seed's settled pairs.
+    settled_block: int = 1_024
     # Rows per bucket of an edge table, beyond one bucket per shuffle partition.
     bucket_rows: int = 16_000_000
 

@@ -13,7 +13,7 @@ from iterweave.workspace import Workspace, close_all  # noqa: E402
 
 # Pieces so small that tiny inputs are cut as large ones are: hot keys sliced, edges in
 # several buckets, pairs in blocks.
-LARGE = Tuning(hot_key_rows=3, pair_block_rows=2, bucket_rows=10)
+LARGE = Tuning(hot_key_rows=3, pair_block_rows=2, settled_block=4, bucket_rows=10)
 
 
 @pytest.fixture(scope="session")
