@@ -8,8 +8,7 @@ or more.  A line of more than 50 words is a passage of its own: it is a chunk by
 
 A chunk is removed where it repeats: all its occurrences in the corpus but the first (by
 document id, then by position) go, if it has several lines or is such a long line.
-Occurrences meet by a 64-bit hash and are grouped by their bytes; a hash under which two
-different chunks are found removes nothing.
+Occurrences are grouped by their bytes and meet by the SHA-256 of them.
 
 Chunking happens inside the row, without a shuffle.  The chunks are grouped with map-side
 aggregation, so a chunk that a third of all documents hold reaches the reducers once per
@@ -24,9 +23,10 @@ lines of all occurrences but the first go, but not of those that overlap the fir
 Windows are taken from the text as it was read, so chunks that go break no passage.
 
 Defined results: a null text stays null, an empty one empty (one empty line); documents
-without an id come first; repeated rows (same id and text) count as one document and all
-keep what it keeps; an empty table gives an empty result; other columns pass through
-unchanged (``n_chars``, if present, follows the text).  A document may end up empty.
+without an id come first, those of the same id (or none) by a hash of their texts; repeated
+rows (same id and text) count as one document and all keep what it keeps; an empty table
+gives an empty result; other columns pass through unchanged
+(``n_chars``, if present, follows the text).  A document may end up empty.
 """
 
 from __future__ import annotations
@@ -40,6 +40,7 @@ from iterweave.workspace import Workspace
 MIN_LINES = 2
 LONG_WORDS = 50  # a line of more words is a chunk by itself
 ROLL, RANGE = 31, 2**31 - 1
+ROW_BITS = 62  # of a row's hash: with the id in front it fits a decimal of 38 digits
 
 _PRIVATE = ("_chunks", "_row", "_id", "_gone", "_lines", "_windows")
 
@@ -175,28 +176,18 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
         _keyed(docs)
         .select("_id", "_row", F.posexplode(chunks_of(F.col("text"))).alias("no", "chunk"))
         .filter("chunk.removable")
-        .select("_id", "_row", "no", "chunk.text", F.xxhash64("chunk.text").alias("hash"))
+        .select("_id", "_row", "no", "chunk.text")
     )
     # Grouping by the text itself is the byte comparison.
-    groups = chunks.groupBy("hash", "text").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_id").alias("first_id")
-    )
-    verified = (
-        groups.groupBy("hash")
-        .agg(
-            F.count(F.lit(1)).alias("texts"),
-            F.sum("n").alias("n"),
-            F.min("first_id").alias("first_id"),
-        )
-        .filter("texts = 1 and n > 1")
-    )
+    groups = chunks.groupBy("text").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("holder"))
+    repeated = groups.filter("n > 1").select(_digest().alias("key"), "holder")
     found = (
-        chunks.select("_id", "_row", "no", "hash")
-        .join(verified.select("hash", "first_id"), "hash")
+        chunks.select("_id", "_row", "no", _digest().alias("key"))
+        .join(repeated, "key")
         .select(
             "_id",
             "_row",
-            F.struct("hash", "no", (F.col("_id") == F.col("first_id")).alias("first")).alias("at"),
+            F.struct("key", "no", (_place() == F.col("holder")).alias("first")).alias("at"),
         )
     )
     # In the first document only the first of equal chunks stays.  A row's chunks are
@@ -204,7 +195,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     per_row = found.groupBy("_id", "_row").agg(F.sort_array(F.collect_set("at")).alias("_at"))
     gone = F.filter(
         "_at",
-        lambda x, i: ~x["first"] | (F.coalesce(F.get("_at", i - 1)["hash"] == x["hash"], F.lit(False))),
+        lambda x, i: ~x["first"] | (F.coalesce(F.get("_at", i - 1)["key"] == x["key"], F.lit(False))),
     )
     return per_row.select("_id", "_row", F.transform(gone, lambda x: x["no"]).alias("_gone")).filter(
         F.size("_gone") > 0
@@ -213,11 +204,23 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """Rows by id and text: no row number is needed that a rerun could give differently."""
+    row = F.shiftrightunsigned(F.xxhash64("text"), 64 - ROW_BITS)
     return docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))).withColumn(
-        "_row", F.xxhash64("text")
+        "_row", row
     )
 
 
+def _place() -> Column:
+    """(_id, _row) as one number: the least of pairs would need sorting, that of numbers only
+    hashing."""
+    by_id = F.col("_id").cast("decimal(20,0)") * F.lit(2**ROW_BITS).cast("decimal(19,0)")
+    return by_id + F.col("_row").cast("decimal(20,0)")
+
+
+def _digest() -> Column:
+    return F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+
+
 def dedup_lines(docs: DataFrame, passages: bool = False, ws: Workspace | None = None) -> DataFrame:
     """``docs`` with repeated chunks taken out of ``text``, and ``n_chunks``,
     ``n_removed``; with ``passages`` also what chunks leave of repeated passages, and

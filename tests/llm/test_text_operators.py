@@ -142,6 +142,16 @@ def test_line_dedup_edge_cases(spark):
     assert columns == ["doc_id", "text", "lang", "source", "n_chars", "_spans", "size", "n_chunks", "n_removed"]
 
 
+def test_one_holder_among_documents_of_the_same_id(spark):
+    block = _lines(30, 4)
+    for ids in ([None, None, 11], [5, 5, None], [7, 7, 7]):
+        rows = [(i, "\n".join(block + _lines(9, 50 + n))) for n, i in enumerate(ids)]
+        got = op02_line_dedup.dedup_lines(docs(spark, rows), passages=True).collect()
+        removed = sorted(r.n_removed for r in got)
+        assert removed[0] == 0 and removed[1] == removed[2] > 0
+        assert sorted(line for r in got for line in r.text.split("\n") if line in block) == sorted(block)
+
+
 def test_repeats_inside_one_document_go(spark):
     block = _lines(30, 4)
     table = docs(spark, [(1, "\n".join(block + block))])
