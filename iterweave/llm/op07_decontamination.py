@@ -12,8 +12,9 @@ coverage limit and cuts the spans out of the others.
 
 The automaton grows with the benchmark, not with the corpus.  Items are streamed to the
 driver in blocks of at most ``BLOCK_WORDS`` words (an item is never split); each block's
-automaton is one broadcast and one step of the same pass over the documents, so memory is
-bounded by the block, or the longest item, whatever the benchmark's size.
+automaton is one broadcast and one step of a pass over the documents.  A pass takes
+``BLOCKS_A_PASS`` blocks and is written before the next one starts, so a task holds that many
+automata, and the driver that many blocks, whatever the benchmark's size.
 
 Defined results: a null or wordless text has no words and no hits; null or wordless items
 match nothing; items with the same text all count, and a null item_id is left out of the
@@ -27,13 +28,17 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from iterweave.workspace import Workspace
+
 WINDOW = 13
 COVERAGE = 20  # contaminated when hits are at least 1/20 of the words
 BLOCK_WORDS = 200_000  # words per automaton
+BLOCKS_A_PASS = 4
 
 # Separators become spaces and A-Z lower case; what is left are the words.
 _SEPARATORS = [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]
@@ -213,9 +218,8 @@ def cut(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, data[kept_to:]])
 
 
-def _scanned(found: DataFrame, items: list, window: int, first: bool, last: bool) -> DataFrame:
-    """One block's pass: adds to the spans and items; the last one cuts the text."""
-    block = found.sparkSession.sparkContext.broadcast(items)
+def _scanned(found: DataFrame, block: Broadcast, window: int, first: bool, last: bool) -> DataFrame:
+    """One block's step: adds to the spans and items; the last one cuts the text."""
     passed = [f for f in found.schema.fields if f.name not in _INSIDE]
     text = T.StructField("_data", T.StringType() if last else T.BinaryType())
     schema = T.StructType([*passed, text, *_FOUND.fields])
@@ -255,16 +259,24 @@ def contamination(
     benchmark: DataFrame,
     window: int = WINDOW,
     block_words: int = BLOCK_WORDS,
+    ws: Workspace | None = None,
 ) -> DataFrame:
     """``docs`` without ``text``, and ``_data`` (the text with the spans cut out),
     ``_n_words``, ``_spans`` (hit runs in word positions) and ``_items``."""
     others = [F.col(c) for c in docs.columns if c not in ("text", *_INSIDE)]
     found = docs.select(*others, F.col("text").cast("binary").alias("_data"))
     blocks = _blocks(benchmark, block_words)
+    ws = ws or Workspace(docs.sparkSession)
     now, first = next(blocks, []), True
+    alive: list[Broadcast] = []
     while now is not None:
+        if len(alive) == BLOCKS_A_PASS:
+            found = ws.materialize(found, "scanned").df
+            while alive:
+                alive.pop().destroy()
         following = next(blocks, None)
-        found = _scanned(found, now, window, first, last=following is None)
+        alive.append(docs.sparkSession.sparkContext.broadcast(now))
+        found = _scanned(found, alive[-1], window, first, last=following is None)
         now, first = following, False
     return found
 
