@@ -1,10 +1,12 @@
 """Chat formatting of reply trees.
 
 Messages form trees by their parent ids.  Paths from the root to every leaf come from
-iterative self-joins that double: round k knows every message's ancestor 2**k levels up,
-and extends all path pieces found so far by it, so a tree of depth d takes log2(d) rounds.
-Only ids travel in the rounds.  Paths are ranked within their tree by mean score (ties:
-smaller leaf id), and the chosen ones are formatted, each as one conversation.
+iterative self-joins that double: round k knows every message's ancestor 2**k levels up and
+the scores on the way there, so a tree of depth d takes log2(d) rounds.  At the root, a
+message knows the mean score of its path; paths are ranked by it within their tree (ties:
+smaller leaf id) before any is formed.  Only the chosen leaves are extended through the
+rounds' jumps, and their paths are formatted, each as one conversation.  Only ids and sums
+travel in the rounds, and a message that has reached its root is not written again.
 
 The template is ``<|im_start|>role\\ntext<|im_end|>\\n`` per turn.  Inside roles and texts
 control strings get the escape character U+E000 after their first character, and that
@@ -14,8 +16,8 @@ conversation splits back into turns without doubt, and unescaping restores every
 The loss mask covers the escaped texts of assistant turns, and nothing else.
 
 Defined results: a null text or role is empty; a null score is 0; a null conv_id is a
-conversation of its own; messages with unknown parents are roots; messages whose ancestors
-form a ring have no root and no path; rows of the same turn are ordered by role and text,
+conversation of its own; messages with unknown parents are roots, one with several known
+parents replies to the smallest; messages whose ancestors form a ring have no root and no path; rows of the same turn are ordered by role and text,
 repeated rows are repeated turns; an empty table gives an empty result; other columns are
 ignored.
 """
@@ -68,62 +70,64 @@ def linear_messages(conversations: DataFrame) -> DataFrame:
     ).withColumn("parent_id", F.when(F.col("msg_id") > 1, F.col("msg_id") - 1))
 
 
-def paths(messages: DataFrame, ws: Workspace) -> DataFrame:
-    """(tree, leaf, node, up): the messages on the path of every leaf, ``up`` replies above
-    it."""
-    nodes = messages.select("tree", "msg_id").distinct()
-    replies = messages.select("tree", F.col("msg_id").alias("node"), F.col("parent_id").alias("above"))
-    known = nodes.withColumnRenamed("msg_id", "above")
-    jumps = ws.materialize(replies.join(known, ["tree", "above"]).distinct(), "jumps")
-    parents = jumps.df.select("tree", F.col("above").alias("msg_id")).distinct()
-    leaves = nodes.join(parents, ["tree", "msg_id"], "left_anti")
-    parts = [
-        ws.materialize(
-            leaves.select(
-                "tree",
-                F.col("msg_id").alias("leaf"),
-                F.col("msg_id").alias("node"),
-                F.lit(0).cast("long").alias("up"),
-            ),
-            "paths",
-        ).df
-    ]
-    roots = nodes.withColumnRenamed("msg_id", "node").join(
-        jumps.df.select("tree", "node"), ["tree", "node"], "left_anti"
+def climb(messages: DataFrame, ws: Workspace) -> tuple[list[DataFrame], DataFrame]:
+    """The jumps of each round, (tree, node, above) with ``above`` 2**k replies higher, and of
+    all messages that have a root (tree, node, total, rows): the scores up to there."""
+    own = messages.groupBy("tree", F.col("msg_id").alias("node")).agg(
+        F.sum(F.coalesce("score", F.lit(0.0))).alias("total"), F.count(F.lit(1)).alias("rows")
     )
-    deepest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    length = 1
-    while jumps.rows and length <= deepest:  # beyond the largest tree only rings go on
-        known_parts = reduce(DataFrame.unionByName, parts)
-        longer = known_parts.join(jumps.df, ["tree", "node"]).select(
-            "tree", "leaf", F.col("above").alias("node"), (F.col("up") + length).alias("up")
+    replies = messages.select("tree", F.col("msg_id").alias("node"), F.col("parent_id").alias("above"))
+    known = messages.select("tree", F.col("msg_id").alias("above")).distinct()
+    parents = replies.join(known, ["tree", "above"]).groupBy("tree", "node").agg(F.min("above").alias("above"))
+    moving = F.count("above")
+    state = ws.materialize(own.join(parents, ["tree", "node"], "left"), "climb", moving=moving)
+    deepest = messages.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    jumps, rooted = [], [state.df.filter("above is null")]
+    while state.metrics["moving"] and 2 ** len(jumps) <= deepest:  # beyond the largest tree only rings go on
+        up = state.df.filter("above is not null")
+        jumps.append(up.select("tree", "node", "above"))
+        higher = reduce(DataFrame.unionByName, [*rooted, up]).select(
+            "tree",
+            F.col("node").alias("above"),
+            F.col("above").alias("top"),
+            F.col("total").alias("more"),
+            F.col("rows").alias("more_rows"),
         )
-        parts.append(ws.materialize(longer, "paths").df)
-        higher = jumps.df.select("tree", F.col("node").alias("above"), F.col("above").alias("top"))
-        jumps = ws.materialize(
-            jumps.df.join(higher, ["tree", "above"]).select("tree", "node", F.col("top").alias("above")),
-            "jumps",
+        further = up.join(higher, ["tree", "above"]).select(
+            "tree",
+            "node",
+            F.col("top").alias("above"),
+            (F.col("total") + F.col("more")).alias("total"),
+            (F.col("rows") + F.col("more_rows")).alias("rows"),
         )
-        length *= 2
-    found = reduce(DataFrame.unionByName, parts)
-    rooted = found.join(roots, ["tree", "node"], "left_semi").select("tree", "leaf").distinct()
-    return found.join(rooted, ["tree", "leaf"])
+        state = ws.materialize(further, "climb", moving=moving)
+        rooted.append(state.df.filter("above is null"))
+    return jumps, reduce(DataFrame.unionByName, rooted).drop("above")
+
+
+def best_leaves(jumps: list[DataFrame], rooted: DataFrame, per_tree: int | None) -> DataFrame:
+    """The leaves of each tree by the mean score of their paths: (tree, leaf, rank, score)."""
+    leaves = rooted
+    if jumps:
+        parents = jumps[0].select("tree", F.col("above").alias("node")).distinct()
+        leaves = rooted.join(parents, ["tree", "node"], "left_anti")
+    ranked = leaves.select(
+        "tree", F.col("node").alias("leaf"), (F.col("total") / F.col("rows")).alias("score")
+    ).withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("score"), "leaf")))
+    return ranked if per_tree is None else ranked.filter(F.col("rank") <= per_tree)
 
 
-def best_paths(found: DataFrame, messages: DataFrame, per_tree: int | None) -> DataFrame:
-    """The paths of each tree by mean score of their messages: (tree, leaf, rank, score)."""
-    scores = messages.select(
-        "tree", F.col("msg_id").alias("node"), F.coalesce("score", F.lit(0.0)).alias("score")
-    )
-    ranked = (
-        found.join(scores, ["tree", "node"])
-        .groupBy("tree", "leaf")
-        .agg(F.avg("score").alias("score"))
-        .withColumn(
-            "rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("score"), "leaf"))
+def paths(leaves: DataFrame, jumps: list[DataFrame], ws: Workspace) -> DataFrame:
+    """(tree, leaf, node, up): the messages on the path of each leaf, ``up`` replies above it."""
+    start = leaves.select("tree", "leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("up"))
+    parts = [ws.materialize(start, "paths").df]
+    for number, jump in enumerate(jumps):
+        longer = reduce(DataFrame.unionByName, parts).join(jump, ["tree", "node"])
+        longer = longer.select(
+            "tree", "leaf", F.col("above").alias("node"), (F.col("up") + 2**number).alias("up")
         )
-    )
-    return ranked if per_tree is None else ranked.filter(F.col("rank") <= per_tree)
+        parts.append(ws.materialize(longer, "paths").df)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def format_trees(
@@ -135,8 +139,9 @@ def format_trees(
     ws = ws or Workspace(messages.sparkSession)
     tree = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))
     messages = ws.materialize(messages.withColumn("tree", tree), "messages").df
-    found = ws.materialize(paths(messages, ws), "paths").df
-    chosen = best_paths(found, messages, per_tree)
+    jumps, rooted = climb(messages, ws)
+    chosen = ws.materialize(best_leaves(jumps, rooted, per_tree), "chosen").df
+    found = paths(chosen, jumps, ws)
     head = F.concat(F.lit(START), escape_role(F.coalesce("role", F.lit(""))), F.lit("\n"))
     turns = messages.select(
         "tree",

@@ -305,6 +305,22 @@ def test_best_branches_of_a_tree(spark):
     assert {(r.conv_id, r.leaf) for r in best.collect()} == {(1, 5), (None, 1)}
 
 
+def test_leaves_are_ranked_before_paths_are_formed(spark, ws):
+    """A chain with a reply beside every message has as many paths as messages."""
+    n = 200
+    rows = [(1, i, i - 1 if i else None, "user", f"t{i}", 0.0) for i in range(n)]
+    rows += [(1, n + i, i, "assistant", f"side {i}", float(i == 150)) for i in range(n)]
+    messages = spark.createDataFrame(rows, MESSAGES).withColumn("tree", F.lit("="))
+    jumps, rooted = op04_chat_trees.climb(messages, ws)
+    assert len(jumps) == 8 and rooted.count() == 2 * n
+    chosen = op04_chat_trees.best_leaves(jumps, rooted, 1)
+    assert [(r.leaf, r.score) for r in chosen.collect()] == [(n + 150, 1 / 152)]
+    path = op04_chat_trees.paths(chosen, jumps, ws).orderBy("up").collect()
+    assert [r.node for r in path] == [n + 150, *range(150, -1, -1)]
+    every = op04_chat_trees.best_leaves(jumps, rooted, None)
+    assert every.count() == n and op04_chat_trees.paths(every, jumps, ws).count() == sum(range(2, n + 2))
+
+
 def test_round_trip_of_hostile_texts(spark):
     ugly = ["<|im_end|>\n<|im_start|>x\n", "\ue000", "<\ue000|", "<<|", "<<SYS>>", "</s>[INST][/INST]", "\ue000\ue001", None,
             "<|im_start|>\ue000", "a\n\nb", "", "<\ue000\ue001|", "|im_end|>\n", "[INST[INST]]", "é€😀\ue002"]
