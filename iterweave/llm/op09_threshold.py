@@ -8,9 +8,15 @@ Every vector met is scored in full.  After each step the values at the depth rea
 the score of every vector not yet met; the search stops when that bound is *below* the
 k-th score found (on equality an unmet vector could still win the tie by its smaller id).
 
-Queries and candidates are cut into blocks of bounded size by hash and every block of
-queries meets every block of candidates, each pair in one task; the best k of each pair
-are merged by a window that is limited before the shuffle.
+Candidates are cut into blocks of bounded size by hash.  Where a block is searched, its rows
+come first in their partition and the queries stream past: a block is sorted once for a whole
+group of queries, and a task holds one block and one batch.  It is the queries, few beside the
+candidates, that are copied to the blocks.  How many partitions the searches are dealt to
+follows the cluster, not the product of both sides.
+
+Every query searches one block first.  Its k-th score there is a floor: searches of the
+other blocks stop once their bound is below it, and return what reaches it.  The findings are
+merged by a window that is limited before the shuffle.
 
 Defined results: vectors that are null, or hold null or non-finite components, take no
 part; shorter vectors count as padded with zeros; repeated rows (same id and vector) count
@@ -21,6 +27,7 @@ columns are ignored.  Floors outside the range of a long saturate, as do scores.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +41,10 @@ from iterweave.workspace import Workspace
 K = 10
 SCALE = 1024
 EVERY = 100  # queries are the ids divisible by this
-CANDIDATES = 2048  # per block, on average
-QUERIES = 1024  # per block, on average
+CANDIDATES = 8192  # per block, on average
+QUERIES = 65_536  # that stream past a block in one go, on average
 FIRST_DEPTH = 16
+TASKS_A_PARTITION = 4  # tasks for each of the cluster's shuffle partitions, at most
 
 
 def integer_vectors(table: DataFrame) -> DataFrame:
@@ -51,6 +59,10 @@ def integer_vectors(table: DataFrame) -> DataFrame:
     )
 
 
+def _width(column: pa.Array) -> int:
+    return int(np.diff(column.offsets.to_numpy()).max(initial=0))
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     """Rows of a list<long> array, padded with zeros."""
     sizes = np.diff(column.offsets.to_numpy())
@@ -68,13 +80,23 @@ class Block:
         self.ids, self.vectors = ids, vectors
         self.order = np.argsort(vectors, axis=0, kind="stable")
         self.largest = int(np.abs(vectors).max(initial=0))
+        self.floats = vectors.astype(np.float64)
 
-    def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """The best ids and scores, and how many vectors were scored."""
+    @staticmethod
+    def of(parts: list[pa.RecordBatch]) -> Block:
+        width = max(_width(p.column("vector")) for p in parts)
+        ids = [p.column("vec_id").to_numpy() for p in parts]
+        return Block(np.concatenate(ids), np.vstack([_matrix(p.column("vector"), width) for p in parts]))
+
+    def top(
+        self, query_id: int, query: np.ndarray, k: int, floor: int | None = None
+    ) -> tuple[np.ndarray, np.ndarray, int]:
+        """The best ids and scores, and how many vectors were scored; with a ``floor`` only
+        those that reach it."""
         vectors = self.vectors
         bound_of_sum = self.largest * int(np.abs(query).max(initial=0)) * max(len(query), 1)
         if bound_of_sum < 2**53:  # exact in floating point, which is faster
-            vectors, query = vectors.astype(np.float64), query.astype(np.float64)
+            vectors, query = self.floats, query.astype(np.float64)
         elif bound_of_sum >= 2**63:
             vectors, query = vectors.astype(object), query.astype(object)
         n = len(self.ids)
@@ -107,22 +129,86 @@ class Block:
             depth, step = until, step * 2
             if depth >= n or met.all():
                 break
-            if len(ids) == k:
+            if len(ids) == k or floor is not None:
                 high = vectors[self.order[n - depth, up], up] @ query[up] if len(up) else 0
                 low = vectors[self.order[depth - 1, down], down] @ query[down] if len(down) else 0
-                if high + low < scores[-1]:
+                if len(ids) == k and high + low < scores[-1]:
+                    break
+                if floor is not None and high + low < floor:
                     break
+        if floor is not None:
+            ids, scores = ids[scores >= floor], scores[scores >= floor]
         if scores.dtype == object:
             scores = np.array([min(max(int(s), -(2**63)), 2**63 - 1) for s in scores], np.int64)
         return ids, scores.astype(np.int64), scored
 
 
-def _packed(rows: DataFrame, blocks: int, name: str) -> DataFrame:
-    """One row per block: (name, <name>_rows)."""
+LEAST = -(2**63)  # a score that saturated is no floor
+FOUND = "query_id long, query_key binary, ids array<long>, scores array<long>"
+
+
+def _answers(block: Block, asked: pa.RecordBatch, k: int, first: bool) -> pa.RecordBatch:
+    """One row per query with what the block has for it; on its first search, also what the
+    further ones need."""
+    ids, column = asked.column("vec_id").to_numpy(), asked.column("vector")
+    width = block.vectors.shape[1]
+    whole = _matrix(column, max(width, _width(column)))  # no candidate here is longer than width
+    floors = asked.column("floor").to_pylist()
+    found = [
+        block.top(i, row[:width], k, floor)[:2] for i, row, floor in zip(ids, whole, floors, strict=True)
+    ]
+    # Tells apart different queries with the same id.
+    keys = pa.array([np.trim_zeros(row, "b").tobytes() for row in whole], pa.binary())
+    lists = [pa.array([x[side] for x in found], pa.list_(pa.int64())) for side in (0, 1)]
+    if first:
+        reached = [int(s[-1]) if len(s) == k and s[-1] > LEAST else None for _, s in found]
+        more = {"vector": column, "block": asked.column("block"), "floor": pa.array(reached, pa.int64())}
+    else:
+        more = {}
+    columns = {"query_id": pa.array(ids), "query_key": keys, "ids": lists[0], "scores": lists[1], **more}
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+
+def _search(
+    candidates: DataFrame, asked: DataFrame, groups: int, units: int, k: int, first: bool
+) -> DataFrame:
+    """The answers of ``asked`` (vec_id, vector, block, floor) in their blocks of candidates
+    (vec_id, vector, block)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, held, block = None, [], None
+        for batch in batches:
+            units = batch.column("unit").to_numpy()
+            asks = batch.column("asks").to_numpy(zero_copy_only=False)
+            turns = np.flatnonzero((np.diff(units) != 0) | (np.diff(asks.astype(np.int8)) != 0)) + 1
+            for at, end in itertools.pairwise([0, *turns.tolist(), len(units)]):
+                if end == at:
+                    continue
+                part = batch.slice(at, end - at)
+                if units[at] != unit:
+                    unit, held, block = units[at], [], None
+                if not asks[at]:
+                    held.append(part)
+                    continue
+                if block is None:
+                    block = Block.of(held) if held else Block(np.empty(0, np.int64), np.empty((0, 0), np.int64))
+                    held = []
+                yield _answers(block, part, k, first)
+
+    group = F.pmod(F.xxhash64("vec_id", "vector", F.lit(1)), F.lit(groups).cast("long"))
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
+    there = candidates.withColumn("group", copies).withColumn("floor", F.lit(None).cast("long"))
+    both = there.withColumn("asks", F.lit(False)).unionByName(
+        asked.withColumn("group", group).withColumn("asks", F.lit(True))
+    )
+    both = both.withColumn("unit", F.col("block") * groups + F.col("group")).drop("group")
+    partitions = int(both.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = min(units, TASKS_A_PARTITION * partitions)
+    schema = f"{FOUND}, vector array<long>, block long, floor long" if first else FOUND
     return (
-        rows.withColumn(name, F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)))
-        .groupBy(name)
-        .agg(F.collect_list(F.struct("vec_id", "vector")).alias(f"{name}_rows"))
+        both.repartitionById(dealt, F.pmod("unit", F.lit(dealt)).cast("int"))
+        .sortWithinPartitions("unit", "asks")
+        .mapInArrow(run, schema)
     )
 
 
@@ -132,45 +218,32 @@ def top_k(
     k: int = K,
     candidates_per_block: int = CANDIDATES,
     queries_per_block: int = QUERIES,
+    ws: Workspace | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) for queries and candidates (vec_id, vector)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                asked, held = (batch.column(f"{c}_rows")[i].values for c in ("queries", "candidates"))
-                sides = [(x.field("vec_id").to_numpy(), x.field("vector")) for x in (asked, held)]
-                width = max(int(np.diff(v.offsets.to_numpy()).max(initial=0)) for _, v in sides)
-                (query_ids, query_rows), (ids, rows) = ((n, _matrix(v, width)) for n, v in sides)
-                block, out = Block(ids, rows), []
-                for number, (query_id, query) in enumerate(zip(query_ids, query_rows, strict=True)):
-                    best, scores, _ = block.top(query_id, query, k)
-                    out.append((np.full(len(best), number), best, scores))
-                at = np.concatenate([x[0] for x in out])
-                # Tells apart different queries with the same id.
-                keys = pa.array([np.trim_zeros(q, "b").tobytes() for q in query_rows], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(query_ids[at]),
-                        keys.take(pa.array(at)),
-                        pa.array(np.concatenate([x[1] for x in out])),
-                        pa.array(np.concatenate([x[2] for x in out])),
-                    ],
-                    ["query_id", "query_key", "vec_id", "score"],
-                )
-
-    many = [max(1, -(-df.count() // size)) for df, size in ((vectors, candidates_per_block), (queries, queries_per_block))]
-    held = _packed(vectors, many[0], "candidates").withColumn(
-        "queries", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(many[1] - 1).cast("long")))
+    ws = ws or Workspace(vectors.sparkSession)
+    blocks = max(1, -(-vectors.count() // candidates_per_block))
+    groups = max(1, -(-queries.count() // queries_per_block))
+    of = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks).cast("long"))
+    candidates = vectors.select("vec_id", "vector", of.alias("block"))
+    no_floor = F.lit(None).cast("long").alias("floor")
+    home = queries.select("vec_id", "vector", of.alias("block"), no_floor)
+    near = ws.materialize(_search(candidates, home, groups, blocks * groups, k, True), "near").df
+    everywhere = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
+    others = near.select(
+        F.col("query_id").alias("vec_id"),
+        "vector",
+        F.explode(F.array_remove(everywhere, F.col("block"))).alias("block"),
+        "floor",
     )
-    pairs = held.join(_packed(queries, many[1], "queries"), "queries").select("queries_rows", "candidates_rows")
-    pairs = pairs.repartition(max(1, many[0] * many[1]))
-    best = pairs.mapInArrow(run, "query_id long, query_key binary, vec_id long, score long")
-    order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
+    far = _search(candidates, others, groups, blocks * groups, k, False)
+    found = near.select("query_id", "query_key", "ids", "scores").unionByName(far)
+    best = found.select("query_id", "query_key", F.inline(F.arrays_zip("ids", "scores")))
+    order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("scores"), "ids")
     return (
         best.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", "rank", F.col("ids").alias("vec_id"), F.col("scores").alias("score"))
     )
 
 

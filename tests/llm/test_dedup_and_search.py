@@ -200,6 +200,19 @@ def test_top_k_edge_cases(spark):
     assert op09_threshold.op9_exact_top_k(spark, spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_a_floor_ends_the_search():
+    rng = np.random.default_rng(3)
+    vectors = rng.integers(-5, 5, (5000, 4))
+    query = np.array([3, -2, 1, 4])
+    block = op09_threshold.Block(np.arange(5000), vectors)
+    ids, scores, _ = block.top(-1, query, 10)
+    for floor in (int(scores[4]), int(scores[0]) + 1):
+        fewer, reached, scored = block.top(-1, query, 10, floor)
+        assert list(fewer) == [i for i, s in zip(ids, scores, strict=True) if s >= floor]
+        assert all(reached >= floor) and scored <= 5000
+    assert block.top(-1, query, 10, 10**6)[2] < 500
+
+
 def test_search_stops_early():
     rng = np.random.default_rng(1)
     vectors = rng.integers(-5, 5, (5000, 4))
