@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from iterweave.functions.expressions import greater, in_id_order, one_hop_further
-from iterweave import sinks
+from iterweave import registry, sinks
+from iterweave.fixtures import Inputs
 from iterweave.operators import citations as cite
 from iterweave.operators import fits
 from iterweave.operators.adjacency import Adjacency
@@ -111,6 +114,38 @@ def test_common_ancestors_and_depth(large_ws, table):
     ]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_all_pairs_of_seeds_meet_when_none_are_stated(large_ws, table, seed):
+    rng = random.Random(seed)
+    reached = {(rng.randrange(6), rng.randrange(5)): rng.randrange(1, 4) for _ in range(22)}
+    found = table([(s, v, d) for (s, v), d in reached.items()], "seed long, vertex long, d long")
+    papers = table([(v, 1990 + v) for v in range(1, 5)], "id long, year long")
+    want = sorted(
+        (a, b, v, reached[a, v], d)
+        for (b, v), d in reached.items()
+        for a in range(b)
+        if (a, v) in reached
+    )
+    common = cite.common_ancestors(found, papers, block_rows=2)
+    assert rows(common, "p1", "p2", "ca", "d1", "d2") == [w for w in want if w[2]]
+    columns = ("p1", "p2", "ca", "d1", "d2")
+    assert rows(cite.oriented_meetings(found, found, block_rows=2), *columns) == want
+    late = cite.oriented_meetings(found.filter("d = 2"), found.filter("d <= 2"), block_rows=2)
+    assert rows(late, *columns) == [w for w in want if max(w[3:]) == 2]
+
+
+def test_seeds_of_different_orders_have_common_ancestors(spark, ws, table, tmp_path):
+    # Papers 1 and 2 are never in one order; both cite paper 3.
+    part = table([(1, 50), (2, 50), (3, 9)], "p_partkey long, p_size int")
+    lines = table([(7, 1, 1), (7, 2, 3), (8, 1, 2), (8, 2, 3)], "l_orderkey long, l_linenumber int, l_partkey long")
+    part.write.parquet(f"{tmp_path}/part.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    inputs = Inputs(spark, str(tmp_path))
+    assert rows(registry.common_ancestors(inputs, ws)) == [(1, 2, 3, 1959, 1, 1)]
+    assert rows(registry.pair_depth(inputs, ws)) == [(1, 2, 3, 1)]
+    assert rows(registry.pick_min_max(inputs, ws), "p1", "p2", "ca", "d1", "d2") == [(1, 2, 3, 1, 1)]
+
+
 def test_timing_lines(table):
     text = ["real\t2m3.5s", "user\t1m0s", "real 0m0.25s", "real\t1m..s", "x real\t1m1s", "real 1ms"]
     lines = table([(i, s) for i, s in enumerate(text)], "run_id long, line string")
