@@ -14,6 +14,8 @@ from iterweave.operators.orders import Least
 from iterweave.plans import cores, lca, reach
 from iterweave.plans.fixpoint import NotConverged, subtract_known
 from iterweave.plans.relations import Best, Growing, Improving, do_while, holds_rows, improve_until_fixed
+from iterweave.tuning import Tuning
+from iterweave.workspace import Workspace
 from tests.conftest import rows
 from tests.test_cores import EDGE, both, hub_graph, peel
 from tests.test_lca import LINK, PAPER, SEED, brute, hops
@@ -129,6 +131,19 @@ def test_distance_vectors_in_blocks(any_ws, table, block):
         assert text[r.vertex, r.block] == (len(entries), ",".join(entries))
 
 
+@pytest.mark.parametrize("seed_block", [1, 4, 512])
+def test_a_search_writes_a_row_per_vertex_and_block_of_seeds(spark, table, seed_block):
+    links = [(s, 100) for s in range(12)] + [(100, 101), (101, 3)]
+    with Workspace(spark, tuning=Tuning(seed_block=seed_block, hot_key_rows=3)) as ws:
+        search = reach._search(ws, table(links, LINK), table([(s,) for s in range(12)], SEED), 1, None)
+        assert search.found == {1: 12, 2: 12, 3: 12}
+        blocks = -(-12 // seed_block)
+        assert search.log.read(1).count() == search.log.read(2).count() == blocks
+        found = hops(links, range(12), include_self=False)
+        want = sorted((s, v, d) for s in found for v, d in found[s].items())
+        assert rows(search.pairs(), "seed", "vertex", "d") == want
+
+
 def random_papers(seed):
     rng = random.Random(seed)
     papers = [(i, rng.choice([1990, 1991, 1992, 1993])) for i in range(24)]
