@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from iterweave.operators.adjacency import Adjacency
-from iterweave.operators.orders import Falling, Remaining
+from iterweave.operators.orders import Falling, Remaining, Tally
 from iterweave.plans.relations import Improving
 from iterweave.workspace import Workspace
 
@@ -112,6 +112,10 @@ def _core_numbers(
     Only that range is worked on: what is outside the kmin-core goes before the first claim,
     and no claim starts above kmax, where it would only fall to a number that is not asked
     for.  Claims are a base table and the falls of each round.
+
+    Beside the claims lies, per vertex, how much its neighbours claim: a tally that the falls
+    correct.  Neighbours are asked once, in the first round; after that a vertex that fell tells
+    its neighbours, and nothing else moves.
     """
     if kmin > 1:  # every vertex with an edge is in the 1-core
         degrees, adjacency = _peel(ws, weighted, kmin)
@@ -124,37 +128,54 @@ def _core_numbers(
     claims = Improving(ws, "claims", start, Falling(["vertex"], "core", "was"))
     if kmin > 1:
         degrees.discard()
-    # No claim has been checked yet: the first round looks at every edge.
-    near = adjacency.out_of(claims.read(), "vertex").select(F.col("dst").alias("vertex"), "core", "w")
-    while claims.improve(_supported_claim(near).withColumn("was", F.col("core"))):
-        near = _claims_around(claims.delta(), claims.read(), adjacency)
+    told = _told(ws, claims.read().select("vertex", "core"), adjacency)
+    near = told.join(_own(claims), "vertex")
+    near = near.select("vertex", F.least("core", "own").alias("value"), F.col("w").alias("n"))
+    support = Improving(ws, "support", near, Tally(["vertex", "value"], "n"), by=["vertex"])
+    checked = support.read()  # no claim has been checked yet
+    while claims.improve(_supported_claim(checked, _own(claims)).withColumn("was", F.col("core"))):
+        if not support.improve(_corrections(_told(ws, claims.delta(), adjacency), _own(claims))):
+            break
+        hurt = support.delta().select("vertex").distinct()
+        checked = support.read().join(hurt, "vertex", "left_semi")
+    support.discard()
     return claims, adjacency
 
 
-def _claims_around(dropped: DataFrame, claims: DataFrame, adjacency: Adjacency) -> DataFrame:
-    """(vertex, core of a neighbour, weight of the edge) for the vertices whose own claim
-    may have to fall.
+def _own(claims: Improving) -> DataFrame:
+    return claims.read().select("vertex", F.col("core").alias("own"))
+
+
+def _told(ws: Workspace, claims: DataFrame, adjacency: Adjacency) -> DataFrame:
+    """The columns of ``claims`` with the weight ``w`` of the edge, at the neighbours of their
+    vertices, distributed as the claims are.  What a vertex with very many edges is told is
+    added up before it gets there."""
+    told = adjacency.out_of(claims, "vertex").withColumnRenamed("dst", "vertex").drop("src")
+    if adjacency.hot.rows:
+        hot = adjacency.hot.df.select(F.col("src").alias("vertex"))
+        same = [c for c in told.columns if c != "w"]
+        added = told.join(hot, "vertex", "left_semi").groupBy(*same).agg(F.sum("w").alias("w"))
+        told = told.join(hot, "vertex", "left_anti").unionByName(added)
+    return told.repartition(ws.partitions, "vertex")
 
-    A neighbour's fall from ``was`` to ``core`` only hurts claims in between: higher ones
-    never counted it, lower ones still do.
-    """
-    falls = dropped.select("vertex", F.col("core").alias("low"), F.col("was").alias("high"))
-    hit = adjacency.out_of(falls, "vertex").select(F.col("dst").alias("vertex"), "low", "high")
-    claim = claims.select("vertex", "core")
-    hurt = hit.join(claim, "vertex").filter("low < core and core <= high")
-    return (
-        adjacency.out_of(hurt.select("vertex").distinct(), "vertex")
-        .select(F.col("src").alias("of"), F.col("dst").alias("vertex"), "w")
-        .join(claim, "vertex")
-        .select(F.col("of").alias("vertex"), "core", "w")
-    )
 
+def _corrections(told: DataFrame, own: DataFrame) -> DataFrame:
+    """(vertex, value, n): what falls from ``was`` to ``core`` change in the tally of a vertex.
 
-def _supported_claim(near: DataFrame) -> DataFrame:
-    """(vertex, core): the largest h that edges to neighbours claiming h or more weigh.
+    A fall that ends at the vertex's own claim or above changes nothing, and whatever is above
+    counts as equal to it: claims only fall, so it is never asked for more."""
+    met = told.join(own, "vertex").filter("core < own")
+    new = F.struct(F.col("core").alias("value"), F.col("w").alias("n"))
+    old = F.struct(F.least("was", "own").alias("value"), (-F.col("w")).alias("n"))
+    return met.select("vertex", F.inline(F.array(new, old)))
 
-    A hub may have any number of neighbours, but they are summed per claimed value
-    before the shuffle, and E edges allow at most sqrt(2E) different degrees.
+
+def _supported_claim(tally: DataFrame, own: DataFrame) -> DataFrame:
+    """(vertex, core): the largest h, up to its own claim, that edges to neighbours claiming h
+    or more weigh.
+
+    A hub has any number of neighbours, but one row per claimed value, and E edges allow at
+    most sqrt(2E) different degrees.
     """
     strongest_first = (
         W.partitionBy("vertex")
@@ -162,8 +183,9 @@ def _supported_claim(near: DataFrame) -> DataFrame:
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     return (
-        near.groupBy("vertex", "core")
-        .agg(F.sum("w").alias("n"))
+        tally.join(own, "vertex")
+        .groupBy("vertex", F.least("value", "own").alias("core"))
+        .agg(F.sum("n").alias("n"))
         .withColumn("support", F.sum("n").over(strongest_first))
         .groupBy("vertex")
         .agg(F.max(F.least("core", "support")).alias("core"))
@@ -193,11 +215,17 @@ def core_sizes_in_out(
 
 
 def core_edges_by_k_in_out(
-    ws: Workspace, follows: DataFrame, kmin: int = 1, kmax: int | None = None
+    ws: Workspace,
+    follows: DataFrame,
+    kmin: int = 1,
+    kmax: int | None = None,
+    *,
+    runs: bool = False,
 ) -> DataFrame:
-    """(k, u, v): the edges of every in + out core, in their own direction."""
+    """(k, u, v): the edges of every in + out core, in their own direction; or, as ``runs``,
+    (low, high, u, v): every edge once, with the first and last k of its cores."""
     _, edges = _directed_cores(ws, follows, kmin, kmax)
-    return _per_k(edges.toDF("u", "v", "core"), kmin, kmax)
+    return _per_k(edges.toDF("u", "v", "core"), kmin, kmax, runs)
 
 
 def _directed_cores(
@@ -236,18 +264,26 @@ def _nested_sizes(core: DataFrame, edges: DataFrame, kmin: int, kmax: int | None
 
 
 def core_edges_by_k(
-    ws: Workspace, network: DataFrame, kmin: int = 1, kmax: int | None = None
+    ws: Workspace,
+    network: DataFrame,
+    kmin: int = 1,
+    kmax: int | None = None,
+    *,
+    runs: bool = False,
 ) -> DataFrame:
-    """(k, u, v), u < v: the edges of every core with kmin <= k <= kmax."""
+    """(k, u, v), u < v: the edges of every core with kmin <= k <= kmax; or, as ``runs``,
+    (low, high, u, v): every edge once, with the first and last k of its cores."""
     claims, adjacency = _core_numbers(ws, _unit_weights(network), kmin, kmax)
     edges = _edge_cores(claims.read().select("vertex", "core"), adjacency).filter("src < dst")
-    return _per_k(edges.toDF("u", "v", "core"), kmin, kmax)
+    return _per_k(edges.toDF("u", "v", "core"), kmin, kmax, runs)
 
 
-def _per_k(edges: DataFrame, kmin: int, kmax: int | None) -> DataFrame:
+def _per_k(edges: DataFrame, kmin: int, kmax: int | None, runs: bool) -> DataFrame:
     high = F.col("core") if kmax is None else F.least(F.col("core"), F.lit(kmax))
-    k = F.explode(F.sequence(F.lit(kmin).cast("long"), high.cast("long")))
-    return edges.filter(high >= kmin).select(k.alias("k"), "u", "v")
+    inside = edges.filter(high >= kmin).select(
+        F.lit(kmin).cast("long").alias("low"), high.cast("long").alias("high"), "u", "v"
+    )
+    return inside if runs else inside.select(F.explode(F.sequence("low", "high")).alias("k"), "u", "v")
 
 
 def _edge_cores(core: DataFrame, adjacency: Adjacency) -> DataFrame:
