@@ -126,3 +126,48 @@ def test_degree_filter_with_hot_sources(table, hot):
     degree = Counter(u for u, _ in network)
     expected = [e for e in network if degree[e[0]] >= 4]
     assert rows(degree_filter(table(network, EDGE), 4, hot_key_rows=hot)) == expected
+
+
+def test_neighbours_are_asked_once(spark, ws, table, monkeypatch):
+    """After the first round only vertices that fell send anything along their edges."""
+    from iterweave.operators.adjacency import Adjacency
+
+    sent, out_of = [], Adjacency.out_of
+
+    def counted(self, frontier, vertex):
+        sent.append(frontier.count())
+        return out_of(self, frontier, vertex)
+
+    path = [(i, i + 1) for i in range(12)] + [(12 + a, 12 + b) for a, b in CLIQUE]
+    monkeypatch.setattr(Adjacency, "out_of", counted)
+    numbers = dict(rows(cores.core_numbers(ws, table(both(path), EDGE))))
+    assert numbers == {v: 3 if v >= 12 else 1 for v in range(16)}
+    # All 16 claim; then 12 falls to 3, and the path falls from its free end to the clique.
+    assert sent[0] == 16 and sum(sent[1:]) == 12
+
+
+def test_core_files_from_runs(ws, table, tmp_path):
+    """Every edge moves once per few ks; a small core still makes one file."""
+    from iterweave import sinks
+
+    runs = [(1, 1 + i % 7, i, i + 1) for i in range(210)]
+    path = tmp_path / "cores"
+    sinks.write_core_edges(table(runs, "low long, high long, u long, v long"), str(path), 70)
+    read = ws.spark.read.schema("u long, v long, k long").option("sep", "\t").csv(str(path))
+    assert rows(read, "k", "u", "v") == sorted((k, u, v) for a, b, u, v in runs for k in range(a, b + 1))
+    for k in range(1, 8):
+        held = sum(b >= k for _, b, _, _ in runs)
+        assert 1 <= len(list(path.glob(f"k={k}/*.csv"))) <= -(-held // 70)
+
+
+def test_edges_stay_in_place(ws, table):
+    """A round moves its frontier, never the edges it is joined with."""
+    from iterweave.operators.adjacency import Adjacency
+
+    edges = table([(a, a + 1, 1) for a in range(20)], "src long, dst long, w long")
+    adjacency = Adjacency.build(ws, edges, "src")
+    out = adjacency.out_of(table([(3,), (4,)], "vertex long").hint("merge"), "vertex")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(src" in line]
+    assert "SortMergeJoin" in plan and len(moved) == 1
+    assert rows(out) == [(3, 4, 1), (4, 5, 1)]
