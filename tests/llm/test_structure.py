@@ -239,6 +239,33 @@ def test_fingerprints_tell_edits_from_strangers(spark):
     assert got["near_next"].mean() < 0.01
 
 
+def test_a_level_looks_at_what_the_level_above_kept():
+    """So a fingerprint filters a term about twice a seed, not once a subset."""
+    assert len(op13_imatch.MASKS) == 1 + op13_imatch.SEEDS * op13_imatch.LEVELS
+    masks = iter(op13_imatch.MASKS[1:])
+    for bits in op13_imatch.HALVINGS:
+        above = 0
+        for bit in bits:
+            assert bit.bit_count() == 1 and not bit & above
+            above |= bit
+            assert above == next(masks)
+
+
+def test_cells_are_hashes_of_the_terms_of_each_subset(spark):
+    texts = [" ".join(words(40, i)) for i in range(5)] + [""]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    terms = table.select(F.explode(op13_imatch.terms_of(F.col("text"))).alias("term")).distinct()
+    known = {r.term for r in terms.collect() if r.term % 3}
+    rows = spark.createDataFrame([(t,) for t in known], "term long")
+    lexicon = op13_imatch.as_value(rows, 16).scalar()
+    found = op13_imatch.with_cells(table, "text", lexicon, "cells")
+    for r in found.select("cells", op13_imatch.terms_of(F.col("text")).alias("terms")).collect():
+        kept = sorted(known.intersection(r.terms))
+        subsets = [[t for t in kept if not t & mask] for mask in op13_imatch.MASKS]
+        want = [hashlib.md5(",".join(map(str, s)).encode()).hexdigest()[:8] if s else "" for s in subsets]
+        assert r.cells[:-1] == want and bool(r.cells[-1]) == (not kept)
+
+
 def test_fingerprints_of_one_row_and_of_none(spark):
     one = docs(spark, [(5, "some words here")])
     (got,) = op13_imatch.op13_fingerprints(spark, one).collect()
