@@ -21,9 +21,9 @@ of the set (the whole set, if smaller).  Steps:
    them.  Sets with few edits are similar for sure, and one link to the least edited settles
    each; any other similar pair shares a known number of edits, so it shares one among the
    rarest of either (a prefix filter), by which the remaining pairs are found.  Members that
-   are too far from the centre to be measured meet the list's others directly, each pair in
-   the list of its smallest common value.  No link between components is lost, and a group's
-   pairs are never all formed.
+   were not measured against any first centre that the other was measured against, in whichever
+   list, meet directly, each pair in the list of its smallest common value.  No link between
+   components is lost, and a group's pairs are never all formed.
 
 Verification joins the pairs with the texts; a pair of rows is compared in Python.
 
@@ -346,7 +346,7 @@ def open_lists(
     lists: DataFrame, labels: DataFrame, middle: DataFrame, groups: DataFrame
 ) -> DataFrame:
     """The entries of lists that hold several components, with the list's largest one, all
-    values of the entry's node, and whether it was measured against the first centre."""
+    values of the entry's node, and those first centres of its lists it was measured against."""
     labelled = lists.join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
@@ -358,28 +358,30 @@ def open_lists(
         .select("value", F.col("most.component").alias("main"))
     )
     first = middle.filter("rank = 1").select("value", "centre").distinct()
-    known = groups.select("centre", "node", F.lit(True).alias("known"))
     values = lists.groupBy("node", "size").agg(F.collect_set("value").alias("values"))  # up to k
+    near = lists.select("value", "node").join(first, "value").join(groups.select("centre", "node"), ["centre", "node"])
+    near = near.groupBy("node").agg(F.collect_set("centre").alias("near"))  # up to k as well
+    none = F.array().cast("array<bigint>")
     return (
-        labelled.join(main.join(first, "value"), "value")
-        .join(known, ["centre", "node"], "left")
+        labelled.join(main, "value")
         .join(values, ["node", "size"])
-        .select("value", "node", "size", "component", "main", "known", "values")
+        .join(near, "node", "left")
+        .select("value", "node", "size", "component", "main", F.coalesce("near", none).alias("near"), "values")
     )
 
 
 def pairs_by_lists(entries: DataFrame) -> DataFrame:
-    """(a, b) of different components that share a list of which at least one was not measured
-    against the first centre, but for those within the list's main component, which are
-    connected already."""
+    """(a, b) of different components that share a list, but no first centre that both were
+    measured against, in whose group they meet by their edits; and but for those within the
+    list's main component, which are connected already."""
     minor = entries.filter("component <> main").select(
-        "value", *[F.col(c).alias(f"{c}_a") for c in ("node", "size", "component", "known", "values")]
+        "value", *[F.col(c).alias(f"{c}_a") for c in ("node", "size", "component", "near", "values")]
     )
     return (
         entries.join(minor, "value")
-        .filter("known is null or known_a is null")
         .filter(f"component <> component_a and {_similar_size('size', 'size_a')}")
         .filter("component = main or node_a < node")
+        .filter("not arrays_overlap(near, near_a)")
         .filter("value = array_min(array_intersect(values, values_a))")
         .select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b"))
         .distinct()
@@ -413,20 +415,25 @@ def near_duplicates(
     ranked = first_pass(lists, middle)
     wanted = F.when(F.col("rank") == 1, min(AROUND, overlap)).otherwise(overlap)
     tried = ws.materialize(_likely(ranked, classes, k, wanted), "tried").df
-    measured = ws.materialize(measure(tried, docs, width), "measured").df
-    labels = connected_components(ws, linked(measured))
-    groups = ws.materialize(edited_groups(measured, middle, labels), "groups").df
-    entries = ws.materialize(open_lists(lists, labels, middle, groups), "entries").df
-    groups = ws.materialize(with_open_pairs(groups), "open").df
-    counts = ws.materialize(counted_edits(groups), "counts").df
-    edits = ws.materialize(scored(recentred(groups, counts)), "edits").df
-    rest = pairs_by_edits(edits).union(pairs_by_lists(entries)).distinct()
+    measured = ws.materialize(measure(tried, docs, width), "measured")
+    links = ws.materialize(linked(measured.df), "linked").df
+    labels = connected_components(ws, links)
+    groups = ws.materialize(edited_groups(measured.df, middle, labels), "groups")
+    ws.discard(measured)  # edits are long: each table of them goes once the next is written
+    entries = ws.materialize(open_lists(lists, labels, middle, groups.df), "entries").df
+    opened = ws.materialize(with_open_pairs(groups.df), "open")
+    ws.discard(groups)
+    counts = ws.materialize(counted_edits(opened.df), "counts")
+    edits = ws.materialize(scored(recentred(opened.df, counts.df)), "edits")
+    ws.discard(opened, counts)
+    rest = pairs_by_edits(edits.df).union(pairs_by_lists(entries)).distinct()
     rest = rest.join(tried, ["a", "b"], "left_anti")
     rest = ws.materialize(_likely(rest, classes, k, F.lit(overlap)), "rest").df
-    more = linked(measure(rest, docs, width)).union(sure_links(edits))
+    more = linked(measure(rest, docs, width)).union(sure_links(edits.df))
     more = ws.materialize(more, "linked")
+    ws.discard(edits)
     if more.rows:
-        labels = connected_components(ws, linked(measured).union(more.df))
+        labels = connected_components(ws, links.union(more.df))
     named = members.join(labels, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id")
     )

@@ -72,6 +72,21 @@ def test_large_groups_without_all_pairs(spark, near_rows):
     assert {r.component_id for r in got} == {0}
 
 
+@pytest.mark.parametrize("measured, formed", [([1, 2], set()), ([1], {(1, 2)})])
+def test_pairs_measured_against_one_centre_are_not_formed(spark, measured, formed):
+    """Also where the list of their smallest value has another centre, which knows neither."""
+    entries = [(value, node, 50, 2) for value, centre in ((1, 9), (2, 3)) for node in (1, 2, centre)]
+    lists = spark.createDataFrame(entries, "value long, node long, size long, shared int")
+    middle = "value long, centre long, centre_size long, rank int"
+    middle = spark.createDataFrame([(1, 9, 50, 1), (2, 3, 50, 1)], middle)
+    groups = [(9, 9), (3, 3), *((3, node) for node in measured)]
+    groups = spark.createDataFrame(groups, "centre long, node long")
+    labels = spark.createDataFrame([], "node long, component long")
+    open_ = op06_bottomk.open_lists(lists, labels, middle, groups)
+    pairs = {(r.a, r.b) for r in op06_bottomk.pairs_by_lists(open_).collect()}
+    assert {p for p in pairs if p == (1, 2)} == formed
+
+
 def test_near_duplicate_edge_cases(spark):
     rows = [(3, None), (4, ""), (None, "a b c"), (5, "a b c"), (5, "a b c"), (6, "a  b\nC"), (None, None)]
     got = [tuple(r) for r in op06_bottomk.near_duplicates(docs(spark, rows)).collect()]
